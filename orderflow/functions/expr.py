@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows whose split hash falls below this many ten-thousandths go to the test part.
@@ -19,6 +21,11 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("int")
 
 
+def with_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows whose keys are all present; the test reaches the Parquet scan."""
+    return reduce(lambda rows, key: rows.where(F.col(key).isNotNull()), keys, df)
+
+
 def total(column: str | Column) -> Column:
     """Sum that is 0 instead of NULL when every value is missing."""
     return F.coalesce(F.sum(column), F.lit(0.0))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orderflow.functions.expr import HASH_BITS, flag, key_hash, percent, total
+from orderflow.functions.expr import HASH_BITS, flag, key_hash, percent, total, with_keys
 
 SEED = 42
 EVENT_KEY = ("month", "store_id", "product_id")
@@ -35,7 +35,7 @@ def replenishment_events(retail: DataFrame) -> DataFrame:
     frequent value, the smallest one on a tie.
     """
     return (
-        retail.dropna(subset=list(EVENT_KEY))
+        with_keys(retail, *EVENT_KEY)
         .groupBy(*EVENT_KEY)
         .agg(
             F.mode("category", True).alias("category"),
@@ -83,10 +83,12 @@ def build_bridge(
     """
     columns = [c for c in SHIPMENT_COLUMNS if c in logistics.columns]
     shipments = number_rows(logistics.select(shipment_key, *columns), shipment_key, "draw", seed)
-    shipment_count = logistics.agg(F.count(F.lit(1))).scalar()
+    shipment_count = F.greatest(logistics.agg(F.count(F.lit(1))).scalar(), F.lit(1))
+    draw = F.pmod(key_hash(seed, *EVENT_KEY), shipment_count)
     return (
         replenishment_events(retail)
-        .withColumn("draw", F.pmod(key_hash(seed, *EVENT_KEY), shipment_count))
+        # A draw that cannot be NULL keeps Catalyst from testing it on every retail row.
+        .withColumn("draw", F.coalesce(draw, F.lit(0).cast("bigint")))
         .join(shipments, "draw")
         .drop("draw")
         .withColumnRenamed("on_time_flag", "delivered_on_time")
@@ -99,7 +101,7 @@ def build_bridge(
 
 def perfect_order_by_category(bridge: DataFrame) -> DataFrame:
     return (
-        bridge.dropna(subset=["category"])
+        with_keys(bridge, "category")
         .groupBy("category")
         .agg(
             F.count("perfect_order").alias("replenishment_events"),

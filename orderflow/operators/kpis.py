@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.expr import percent, total
+from orderflow.functions.expr import percent, total, with_keys
 
 
 def _mean(column: str, name: str) -> Column:
@@ -13,7 +13,7 @@ def _mean(column: str, name: str) -> Column:
 
 
 def _grouped(df: DataFrame, *keys: str):
-    return df.dropna(subset=list(keys)).groupBy(*keys)
+    return with_keys(df, *keys).groupBy(*keys)
 
 
 # --- retail ---------------------------------------------------------------------------
@@ -71,7 +71,7 @@ def retail_category_summary(retail: DataFrame) -> DataFrame:
 
 def units_by_promo(retail: DataFrame) -> DataFrame:
     """Mean units per category, without and with promotion side by side."""
-    with_flag = retail.dropna(subset=["holiday_promotion"])
+    with_flag = with_keys(retail, "holiday_promotion")
     wide = (
         _grouped(with_flag, "category").pivot("holiday_promotion", [0, 1]).agg(F.avg("units_sold"))
     )

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.expr import flag, key_hash, percent, total
+from orderflow.functions.expr import flag, key_hash, percent, total, with_keys
 from orderflow.operators.kpis import delay_reason_share
 from orderflow.operators.bridge import SEED
 
@@ -76,7 +76,7 @@ class FilterSpec:
 
 def choices(df: DataFrame, column: str) -> DataFrame:
     """Distinct values of a filter column, sorted."""
-    return df.select(column).dropna().distinct().orderBy(column)
+    return with_keys(df, column).select(column).distinct().orderBy(column)
 
 
 def date_span(retail: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def metric_value(table: DataFrame, metric: str, column: str) -> DataFrame:
 
 
 def _by(df: DataFrame, key: str, measure: Column) -> DataFrame:
-    return df.dropna(subset=[key]).groupBy(key).agg(measure)
+    return with_keys(df, key).groupBy(key).agg(measure)
 
 
 def revenue_by_category(retail: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def delay_causes(logistics: DataFrame) -> DataFrame:
 
 def truck_table(logistics: DataFrame) -> DataFrame:
     return (
-        logistics.dropna(subset=["asset_id"])
+        with_keys(logistics, "asset_id")
         .groupBy("asset_id")
         .agg(
             F.count("asset_id").alias("shipments"),
