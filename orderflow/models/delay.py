@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from orderflow.functions.metrics import classification_metrics
 from orderflow.models.forest import (
-    MAX_BINS,
+    FOREST_SETTINGS,
     SEED,
     ForestSize,
     feature_importance,
@@ -60,13 +60,12 @@ def train_delay_model(
         features = stage(features, "delay-features")
     train, test = stratified_split(features, [key], TARGET, seed)
     forest = RandomForestClassifier(
-        featuresCol="features",
         labelCol=TARGET,
         numTrees=size.trees,
         maxDepth=size.depth,
-        maxBins=MAX_BINS,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        **FOREST_SETTINGS,
     )
     model = forest_pipeline(CATEGORICAL, NUMERIC, forest).fit(train)
     predictions = model.transform(test)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.metrics import forecast_comparison
 from orderflow.models.forest import (
-    MAX_BINS,
+    FOREST_SETTINGS,
     SEED,
     ForestSize,
     feature_importance,
@@ -70,13 +70,12 @@ def train_demand_model(
         features = stage(features, "demand-features")
     train, test = split(features, keys, seed)
     forest = RandomForestRegressor(
-        featuresCol="features",
         labelCol=TARGET,
         numTrees=size.trees,
         maxDepth=size.depth,
-        maxBins=MAX_BINS,
         featureSubsetStrategy="all",
         seed=seed,
+        **FOREST_SETTINGS,
     )
     model = forest_pipeline(CATEGORICAL, NUMERIC, forest).fit(train)
     predictions = model.transform(test)

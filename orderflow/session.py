@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache(maxsize=8)
+def _temporary_dir(application_id: str) -> str:
+    return "file:" + tempfile.mkdtemp(prefix=f"orderflow-{application_id}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
@@ -21,9 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = "file:" + tempfile.mkdtemp(prefix="orderflow-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _temporary_dir(spark.sparkContext.applicationId)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
