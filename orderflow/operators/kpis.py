@@ -1,15 +1,79 @@
-"""KPI tables. Rows with a missing group key are left out; means skip missing values."""
+"""KPI tables. Rows with a missing group key are left out; means skip missing values.
+
+Every table can be built from the row-level table or from its *totals*: sums and
+counts by all group keys at once. A batch run stages the totals and then builds
+all tables from them, which reads the row-level table once instead of once per
+table. A single table is built from the rows directly.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.expr import percent, total, with_keys
 
+RETAIL_KEYS = ("date", "month", "region", "category", "holiday_promotion")
+RETAIL_MEASURES = (
+    "units_sold",
+    "units_ordered",
+    "revenue",
+    "forecast_abs_error",
+    "forecast_ape",
+    "inventory_level",
+    "stockout_occurred",
+    "overstock_flag",
+    "days_of_supply",
+)
+LOGISTICS_KEYS = (
+    "asset_id",
+    "traffic_status",
+    "month",
+    "logistics_delay",
+    "logistics_delay_reason",
+)
+LOGISTICS_MEASURES = ("on_time_flag", "delivered_flag", "waiting_time", "asset_utilization")
+
+ROWS = "rows"
+
+
+def _count_of(column: str) -> str:
+    return f"{column}_count"
+
+
+def _totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in measures]
+    counts = [F.count(c).alias(_count_of(c)) for c in measures]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS), *sums, *counts)
+
+
+def retail_totals(retail: DataFrame) -> DataFrame:
+    return _totals(retail, RETAIL_KEYS, RETAIL_MEASURES)
+
+
+def logistics_totals(logistics: DataFrame) -> DataFrame:
+    return _totals(logistics, LOGISTICS_KEYS, LOGISTICS_MEASURES)
+
+
+def _row_count(df: DataFrame) -> Column:
+    return F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+
+
+def _mean(df: DataFrame, column: str) -> Column:
+    """Mean of the rows behind ``df``, which holds rows or totals."""
+    if _count_of(column) in df.columns:
+        return F.try_divide(F.sum(column), F.sum(_count_of(column)))
+    return F.avg(column)
+
 
-def _mean(column: str, name: str) -> Column:
-    return F.avg(column).alias(name)
+def _share_with(df: DataFrame, key: str) -> Column:
+    """Mean of a 0/1 key column over the rows behind ``df``."""
+    if ROWS in df.columns:
+        known = F.when(F.col(key).isNotNull(), F.col(ROWS))
+        return F.try_divide(F.sum(F.col(key) * F.col(ROWS)), F.sum(known))
+    return F.avg(key)
 
 
 def _grouped(df: DataFrame, *keys: str):
@@ -24,12 +88,12 @@ def retail_kpi_daily(retail: DataFrame) -> DataFrame:
         total("units_sold").alias("units_sold"),
         total("units_ordered").alias("units_ordered"),
         total("revenue").alias("revenue"),
-        _mean("inventory_level", "avg_inventory"),
-        _mean("forecast_ape", "forecast_ape"),
-        _mean("stockout_occurred", "stockout_rate"),
-        _mean("overstock_flag", "overstock_rate"),
-        _mean("days_of_supply", "avg_days_of_supply"),
-        _mean("holiday_promotion", "promo_share"),
+        _mean(retail, "inventory_level").alias("avg_inventory"),
+        _mean(retail, "forecast_ape").alias("forecast_ape"),
+        _mean(retail, "stockout_occurred").alias("stockout_rate"),
+        _mean(retail, "overstock_flag").alias("overstock_rate"),
+        _mean(retail, "days_of_supply").alias("avg_days_of_supply"),
+        _share_with(retail, "holiday_promotion").alias("promo_share"),
     )
 
 
@@ -37,9 +101,9 @@ def retail_kpi_monthly(retail: DataFrame) -> DataFrame:
     return _grouped(retail, "month", "region", "category").agg(
         total("units_sold").alias("units_sold"),
         total("revenue").alias("revenue"),
-        _mean("forecast_ape", "forecast_mape"),
-        _mean("stockout_occurred", "stockout_rate"),
-        _mean("days_of_supply", "avg_days_of_supply"),
+        _mean(retail, "forecast_ape").alias("forecast_mape"),
+        _mean(retail, "stockout_occurred").alias("stockout_rate"),
+        _mean(retail, "days_of_supply").alias("avg_days_of_supply"),
     )
 
 
@@ -49,8 +113,8 @@ def retail_monthly_overall(retail: DataFrame) -> DataFrame:
         total("revenue").alias("revenue"),
         total("units_sold").alias("units_sold"),
         percent(error_share).alias("forecast_wape_pct"),
-        percent(F.avg("stockout_occurred")).alias("stockout_rate_pct"),
-        _mean("days_of_supply", "avg_days_of_supply"),
+        percent(_mean(retail, "stockout_occurred")).alias("stockout_rate_pct"),
+        _mean(retail, "days_of_supply").alias("avg_days_of_supply"),
     )
 
 
@@ -60,10 +124,10 @@ def retail_category_summary(retail: DataFrame) -> DataFrame:
         .agg(
             total("revenue").alias("total_revenue"),
             total("units_sold").alias("total_units_sold"),
-            _mean("forecast_ape", "forecast_mape"),
-            _mean("stockout_occurred", "stockout_rate"),
-            _mean("overstock_flag", "overstock_rate"),
-            _mean("days_of_supply", "avg_days_of_supply"),
+            _mean(retail, "forecast_ape").alias("forecast_mape"),
+            _mean(retail, "stockout_occurred").alias("stockout_rate"),
+            _mean(retail, "overstock_flag").alias("overstock_rate"),
+            _mean(retail, "days_of_supply").alias("avg_days_of_supply"),
         )
         .orderBy(F.desc_nulls_last("total_revenue"), "category")
     )
@@ -71,9 +135,10 @@ def retail_category_summary(retail: DataFrame) -> DataFrame:
 
 def units_by_promo(retail: DataFrame) -> DataFrame:
     """Mean units per category, without and with promotion side by side."""
-    with_flag = with_keys(retail, "holiday_promotion")
     wide = (
-        _grouped(with_flag, "category").pivot("holiday_promotion", [0, 1]).agg(F.avg("units_sold"))
+        _grouped(with_keys(retail, "holiday_promotion"), "category")
+        .pivot("holiday_promotion", [0, 1])
+        .agg(_mean(retail, "units_sold"))
     )
     return wide.withColumnsRenamed({"0": "avg_units_no_promo", "1": "avg_units_with_promo"})
 
@@ -91,11 +156,11 @@ def logistics_asset_kpi(logistics: DataFrame) -> DataFrame:
     return (
         _grouped(logistics, "asset_id")
         .agg(
-            F.count("asset_id").alias("shipments"),
-            _mean("on_time_flag", "on_time_rate"),
-            _mean("waiting_time", "avg_waiting_time"),
-            _mean("asset_utilization", "avg_asset_utilization"),
-            _mean("delivered_flag", "delivered_rate"),
+            _row_count(logistics).alias("shipments"),
+            _mean(logistics, "on_time_flag").alias("on_time_rate"),
+            _mean(logistics, "waiting_time").alias("avg_waiting_time"),
+            _mean(logistics, "asset_utilization").alias("avg_asset_utilization"),
+            _mean(logistics, "delivered_flag").alias("delivered_rate"),
         )
         .orderBy(F.asc_nulls_last("on_time_rate"), "asset_id")
     )
@@ -103,9 +168,9 @@ def logistics_asset_kpi(logistics: DataFrame) -> DataFrame:
 
 def _punctuality(logistics: DataFrame, key: str) -> DataFrame:
     return _grouped(logistics, key).agg(
-        F.count(key).alias("shipments"),
-        _mean("on_time_flag", "on_time_rate"),
-        _mean("waiting_time", "avg_waiting_time"),
+        _row_count(logistics).alias("shipments"),
+        _mean(logistics, "on_time_flag").alias("on_time_rate"),
+        _mean(logistics, "waiting_time").alias("avg_waiting_time"),
     )
 
 
@@ -122,7 +187,7 @@ def delay_reason_share(logistics: DataFrame, name: str = "share_pct") -> DataFra
     delayed = logistics.where(F.col("logistics_delay") == 1)
     counts = (
         _grouped(delayed, "logistics_delay_reason")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(_row_count(logistics).alias("n"))
         .withColumnRenamed("logistics_delay_reason", "delay_reason")
     )
     all_delays = counts.agg(F.sum("n")).scalar()

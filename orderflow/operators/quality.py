@@ -14,8 +14,13 @@ def forecast_leakage(retail: DataFrame) -> DataFrame:
 
 
 def attribute_stability(retail: DataFrame) -> DataFrame:
-    """How many categories and regions occur inside each store-product series."""
-    return retail.groupBy(*SERIES).agg(
+    """How many categories and regions occur inside each store-product series.
+
+    Repeated pairs are removed first, so that the two distinct counts work on
+    pairs instead of doubling every row.
+    """
+    pairs = retail.select(*SERIES, "category", "region").distinct()
+    return pairs.groupBy(*SERIES).agg(
         F.count_distinct("category").alias("categories"),
         F.count_distinct("region").alias("regions"),
     )

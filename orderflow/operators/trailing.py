@@ -43,10 +43,16 @@ def _tie_number(df: DataFrame, order: Sequence[str]) -> Column:
     return F.lit(0).cast("bigint")
 
 
+def _long_series(df: DataFrame, series: Sequence[str], long_rows: int) -> DataFrame:
+    """Keys of the long series; there are at most (all rows / long_rows) of them."""
+    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > long_rows).select(*series)
+
+
 def _chunk_layout(
     df: DataFrame, series: Sequence[str], order: Sequence[str], long_rows: int
 ) -> DataFrame:
-    """Chunk of every day of the long series: one row per series and day.
+    """Chunk of every day of long series: one row per series and day.
 
     Works on pre-aggregated day counts, so a long series reaches the running
     total as a list of days, not of rows. A day that is itself too long gets a
@@ -56,22 +62,17 @@ def _chunk_layout(
     days = df.groupBy(*series, day).agg(
         F.count(F.lit(1)).alias("n"), F.min(tie).alias("low"), F.max(tie).alias("high")
     )
-    whole = Window.partitionBy(*series)
-    before = whole.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    cells = F.ceil(F.col("n") / long_rows)
-    return (
-        days.withColumn("series_rows", F.sum("n").over(whole))
-        .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .where(F.col("series_rows") > long_rows)
-        .select(
-            *series,
-            day,
-            F.floor(F.col("start") / long_rows).alias("chunk"),
-            F.col("low").alias("cell_from"),
-            F.when(
-                F.col("n") > long_rows, F.ceil((F.col("high") - F.col("low") + 1) / cells)
-            ).alias("cell_width"),
-        )
+    before = (
+        Window.partitionBy(*series).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.coalesce(F.sum("n").over(before), F.lit(0))
+    width = F.ceil((F.col("high") - F.col("low") + 1) / F.ceil(F.col("n") / long_rows))
+    return days.select(
+        *series,
+        day,
+        F.floor(start / long_rows).alias("chunk"),
+        F.col("low").alias("cell_from"),
+        F.when(F.col("n") > long_rows, width).alias("cell_width"),
     )
 
 
@@ -95,7 +96,7 @@ def _with_chunks(
 
 
 def _lead_in_rows(
-    chunked: DataFrame, layout: DataFrame, series: Sequence[str], order: Sequence[str], value: str
+    chunked: DataFrame, long: DataFrame, series: Sequence[str], order: Sequence[str], value: str
 ) -> DataFrame:
     """For every chunk of a long series, copies of the rows just before it.
 
@@ -105,7 +106,7 @@ def _lead_in_rows(
     chunk = [*series, "chunk", "cell"]
     latest_first = Window.partitionBy(*chunk).orderBy(*[F.desc(c) for c in order])
     tails = (
-        chunked.join(layout.select(*series).distinct(), list(series), "left_semi")
+        chunked.join(long, list(series), "left_semi")
         .select(*chunk, *order, value)
         .withColumn("from_end", F.row_number().over(latest_first))
         .where(F.col("from_end") <= TRAILING_ROWS)
@@ -134,17 +135,20 @@ def with_trailing_means(
     """Add ``avg_daily_sales_7d`` and ``ma7_previous``, frames of 7 rows per series.
 
     ``order`` starts with the day and continues with tie-breakers. The search
-    for long series reads the key columns once; it is skipped where
-    ``rows_at_most`` shows that none can exist.
+    for long series counts rows by series key; it is skipped where
+    ``rows_at_most`` shows that none can exist. Only where it finds some, their
+    days are counted as well.
     """
     plain = Window.partitionBy(*series).orderBy(*order)
     if rows_at_most is not None and rows_at_most <= long_rows:
         return df.withColumns(_means(value, plain))
-    layout = stage(_chunk_layout(df, series, order, long_rows), "chunks")
-    if layout.isEmpty():
+    long = stage(_long_series(df, series, long_rows), "long-series")
+    if long.isEmpty():
         return df.withColumns(_means(value, plain))
+    rows_of_long = df.join(long, list(series), "left_semi")
+    layout = stage(_chunk_layout(rows_of_long, series, order, long_rows), "chunks")
     chunked = _with_chunks(df, layout, series, order)
-    lead_in = _lead_in_rows(chunked, layout, series, order, value)
+    lead_in = _lead_in_rows(chunked, long, series, order, value)
     within = Window.partitionBy(*series, "chunk", "cell").orderBy(*order)
     return (
         chunked.withColumn("is_lead_in", F.lit(False))

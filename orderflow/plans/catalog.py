@@ -237,7 +237,7 @@ def a7_cached_tables(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(by_traffic.union(by_truck))
 
 
-def a8_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
+def a8_batch_job(spark: SparkSession, sf: str) -> DataFrame:
     out = job_output(spark, sf)
     return _sizes({name: tables.read_table(spark, out, name) for name in tables.TABLES})
 
@@ -570,7 +570,7 @@ QUERIES: dict[str, Query] = {
     "a5_sink_csv_export": a5_sink_csv_export,
     "a6_report_tables": a6_report_tables,
     "a7_cached_tables": a7_cached_tables,
-    "a8_pipeline_run": a8_pipeline_run,
+    "a8_batch_job": a8_batch_job,
     "b1_revenue": _retail_column("revenue"),
     "b2_forecast_error": _retail_column("forecast_error"),
     "b3_forecast_abs_error": _retail_column("forecast_abs_error"),

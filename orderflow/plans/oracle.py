@@ -320,7 +320,7 @@ FROM shipments GROUP BY traffic_status
 UNION ALL SELECT asset_id AS grp, {mean("on_time_flag", "on_time_rate")}
 FROM shipments GROUP BY asset_id""",
     ),
-    "a8_pipeline_run": sql(_ON_BRIDGE, sizes(_TABLE_SIZES)),
+    "a8_batch_job": sql(_ON_BRIDGE, sizes(_TABLE_SIZES)),
     "b1_revenue": retail_column("revenue"),
     "b2_forecast_error": retail_column("forecast_error"),
     "b3_forecast_abs_error": retail_column("forecast_abs_error"),

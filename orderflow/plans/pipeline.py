@@ -39,6 +39,7 @@ def run_pipeline(
     CSV text is parsed once, into staged Parquet. Each large table is written as
     soon as it is complete and later steps start from the written files, so they
     read only the columns they need and a lost executor costs one step at most.
+    All KPI tables of one source come from one set of totals.
     """
 
     def publish(name: str, df: DataFrame) -> DataFrame:
@@ -60,16 +61,18 @@ def run_pipeline(
     )
     pairs = publish("bridge_perfect_order", bridge.build_bridge(retail, logistics, SHIPMENT_ID))
 
+    sold = stage(kpis.retail_totals(retail), "retail-totals")
+    sent = stage(kpis.logistics_totals(logistics), "logistics-totals")
     results = {
-        "retail_kpi_daily": kpis.retail_kpi_daily(retail),
-        "retail_kpi_monthly": kpis.retail_kpi_monthly(retail),
-        "retail_monthly_overall": kpis.retail_monthly_overall(retail),
-        "retail_category_summary": kpis.retail_category_summary(retail),
-        "retail_promo_lift": kpis.retail_promo_lift(retail),
-        "logistics_asset_kpi": kpis.logistics_asset_kpi(logistics),
-        "logistics_traffic_kpi": kpis.logistics_traffic_kpi(logistics),
-        "logistics_delay_reason_kpi": kpis.logistics_delay_reason_kpi(logistics),
-        "logistics_monthly_otd": kpis.logistics_monthly_otd(logistics),
+        "retail_kpi_daily": kpis.retail_kpi_daily(sold),
+        "retail_kpi_monthly": kpis.retail_kpi_monthly(sold),
+        "retail_monthly_overall": kpis.retail_monthly_overall(sold),
+        "retail_category_summary": kpis.retail_category_summary(sold),
+        "retail_promo_lift": kpis.retail_promo_lift(sold),
+        "logistics_asset_kpi": kpis.logistics_asset_kpi(sent),
+        "logistics_traffic_kpi": kpis.logistics_traffic_kpi(sent),
+        "logistics_delay_reason_kpi": kpis.logistics_delay_reason_kpi(sent),
+        "logistics_monthly_otd": kpis.logistics_monthly_otd(sent),
         "model_forecast_comparison": demand_result.comparison,
         "model_forecast_feature_importance": demand_result.importance,
         "model_delay_metrics": delay_result.metrics,

@@ -11,7 +11,7 @@ from orderflow.models import forest
 from orderflow.operators import bridge, kpis, quality
 from orderflow.operators.logistics import clean_logistics
 from orderflow.operators.retail import clean_retail, with_row_measures
-from orderflow.plans import report
+from orderflow.plans import catalog, report
 from orderflow.plans.report import FilterSpec
 from orderflow.sources.schemas import LOGISTICS, RETAIL
 
@@ -163,6 +163,60 @@ def test_promo_lift(spark):
     assert "Gone" not in got
 
 
+def rounded_rows(df):
+    return sorted(
+        tuple(round(v, 4) if isinstance(v, float) else v for v in row) for row in df.collect()
+    )
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        kpis.retail_kpi_daily,
+        kpis.retail_kpi_monthly,
+        kpis.retail_monthly_overall,
+        kpis.retail_category_summary,
+        kpis.retail_promo_lift,
+    ],
+)
+def test_retail_tables_from_totals_equal_tables_from_rows(spark, sf_dir, build):
+    rows = catalog.retail_cleaned(spark, sf_dir)
+    assert rounded_rows(build(kpis.retail_totals(rows))) == rounded_rows(build(rows))
+
+
+def test_retail_totals_keep_gaps_apart(spark):
+    rows = clean_retail(
+        retail(
+            spark,
+            {"inventory_level": None},
+            {"inventory_level": 40.0, "holiday_promotion": None},
+            {"inventory_level": 60.0, "holiday_promotion": 1},
+            {"units_sold": None, "category": "Food", "inventory_level": None},
+            {"region": None, "holiday_promotion": 1},
+        ),
+        ["units_sold"],
+    )
+    totals = kpis.retail_totals(rows)
+    for build in (kpis.retail_kpi_daily, kpis.retail_monthly_overall, kpis.units_by_promo):
+        assert [
+            tuple(r) for r in build(totals).orderBy(build(totals).columns[-1]).collect()
+        ] == [tuple(r) for r in build(rows).orderBy(build(rows).columns[-1]).collect()]
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        kpis.logistics_asset_kpi,
+        kpis.logistics_traffic_kpi,
+        kpis.logistics_monthly_otd,
+        kpis.logistics_delay_reason_kpi,
+    ],
+)
+def test_logistics_tables_from_totals_equal_tables_from_rows(spark, sf_dir, build):
+    rows = catalog.shipments(spark, sf_dir)
+    assert rounded_rows(build(kpis.logistics_totals(rows))) == rounded_rows(build(rows))
+
+
 def test_missing_delay_reason_is_a_reason(spark):
     log = clean_logistics(
         logistics(

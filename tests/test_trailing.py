@@ -106,7 +106,9 @@ def test_chunks_are_bounded(spark):
     """No chunk of the hot series holds more than two times the limit."""
     df = spark.createDataFrame(make_rows(), SCHEMA)
     series, order = ("store_id", "product_id"), ("date", "tie")
-    layout = trailing._chunk_layout(df, series, order, 10)
+    long = trailing._long_series(df, series, 10)
+    assert {r["store_id"] for r in long.collect()} == {"hot", "sparse"}
+    layout = trailing._chunk_layout(df.join(long, list(series), "left_semi"), series, order, 10)
     chunked = trailing._with_chunks(df, layout, series, order)
     sizes = chunked.where("store_id = 'hot'").groupBy("chunk", "cell").count().collect()
     assert len(sizes) > 15
@@ -115,9 +117,9 @@ def test_chunks_are_bounded(spark):
 
 def test_known_small_input_skips_the_search(spark, monkeypatch):
     def fail(*_):
-        raise AssertionError("layout must not be computed")
+        raise AssertionError("series must not be counted")
 
-    monkeypatch.setattr(trailing, "_chunk_layout", fail)
+    monkeypatch.setattr(trailing, "_long_series", fail)
     rows = make_rows()
     df = spark.createDataFrame(rows, SCHEMA)
     assert result(df, 1000, rows_at_most=len(rows)) == brute_force(rows)
