@@ -55,9 +55,14 @@ NO_MATCH = FilterSpec(categories=("NO SUCH CATEGORY",), trucks=("NO SUCH TRUCK",
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Aggregates to 4 decimals for money and 6 for the rest: sums depend on task order."""
+    """Aggregates to 4 decimals for money and 6 for the rest: sums depend on task order.
+
+    Rates often end exactly on half a unit of the sixth digit; the nudge decides such ties.
+    """
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(c, 4 if c in MONEY else 6) for c in doubles})
+    return df.withColumns(
+        {c: F.round(c, 4) if c in MONEY else F.round(F.col(c) + 1e-9, 6) for c in doubles}
+    )
 
 
 # --- inputs ---------------------------------------------------------------------------
@@ -144,7 +149,7 @@ def _export(df: DataFrame, headings: dict[str, T.DataType], name: str, pad: str
     titles = {column_name(h): pad + h + pad for h in headings}
     path = fresh_path(df.sparkSession, name)
     renamed = df.toDF(*[titles.get(c, c) for c in df.columns])
-    renamed.write.option("header", True).csv(path)
+    renamed.write.option("header", True).option("escape", '"').csv(path)
     return path
 
 

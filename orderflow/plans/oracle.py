@@ -152,6 +152,10 @@ _ON_HELD_OUT = (*_ON_CLEANED, HELD_OUT)
 _ON_RULE = (LOGISTICS, SHIPMENTS, RULE)
 
 
+# Rates often end exactly on half a unit of the sixth digit, and the last bit of a sum
+# depends on its order. The nudge before rounding, on both sides, decides such ties.
+
+
 def sql(tables: tuple[str, ...], query: str) -> str:
     return "WITH " + ",\n".join(tables) + "\n" + query
 
@@ -168,8 +172,8 @@ def shipment_column(name: str) -> str:
     return sql(_ON_SHIPMENTS, f"SELECT shipment_id, {name} FROM shipments")
 
 
-def mean(column: str, name: str, digits: int = 6) -> str:
-    return f"round(avg({column}), {digits}) AS {name}"
+def mean(column: str, name: str) -> str:
+    return f"round(avg({column}) + 1e-9, 6) AS {name}"
 
 
 def money(name: str = "revenue") -> str:
@@ -177,7 +181,7 @@ def money(name: str = "revenue") -> str:
 
 
 def units(column: str = "units_sold", name: str | None = None) -> str:
-    return f"round(coalesce(sum({column}), 0e0), 6) AS {name or column}"
+    return f"round(coalesce(sum({column}), 0e0) + 1e-9, 6) AS {name or column}"
 
 
 def wape(forecast: str, actual: str = "units_sold") -> str:
@@ -193,8 +197,8 @@ PROMO = """SELECT category,
     avg(CASE WHEN holiday_promotion = 0 THEN units_sold END) AS a,
     avg(CASE WHEN holiday_promotion = 1 THEN units_sold END) AS b
   FROM retail WHERE category IS NOT NULL GROUP BY category"""
-PROMO_LIFT = f"""SELECT category, round(a, 6) AS avg_units_no_promo,
-  round(b, 6) AS avg_units_with_promo, round((b - a) / nullif(a, 0) * 1e2, 6) AS promo_lift_pct
+PROMO_LIFT = f"""SELECT category, round(a + 1e-9, 6) AS avg_units_no_promo,
+  round(b + 1e-9, 6) AS avg_units_with_promo, round((b - a) / nullif(a, 0) * 1e2 + 1e-9, 6) AS promo_lift_pct
 FROM ({PROMO})"""
 
 ASSETS = f"""SELECT asset_id, count(*) AS shipments, {mean("on_time_flag", "on_time_rate")},
@@ -210,15 +214,16 @@ MONTHLY_OTD = f"""SELECT month, count(*) AS shipments, {mean("on_time_flag", "on
   {mean("waiting_time", "avg_waiting_time")} FROM shipments GROUP BY month"""
 
 PERFECT = """SELECT category, count(*) AS replenishment_events,
-  round(avg(perfect_order) * 1e2, 6) AS perfect_order_rate,
-  round((1 - avg(stockout_occurred)) * 1e2, 6) AS stockout_free_rate,
-  round(avg(delivered_on_time) * 1e2, 6) AS on_time_rate
+  round(avg(perfect_order) * 1e2 + 1e-9, 6) AS perfect_order_rate,
+  round((1 - avg(stockout_occurred)) * 1e2 + 1e-9, 6) AS stockout_free_rate,
+  round(avg(delivered_on_time) * 1e2 + 1e-9, 6) AS on_time_rate
 FROM bridge WHERE category IS NOT NULL"""
 
 
 def causes(name: str, rounding: str, where: str = "") -> str:
     condition = f"logistics_delay = 1{' AND ' + where if where else ''}"
-    share = f"count(*) * 1e2 / (SELECT count(*) FROM shipments WHERE {condition})"
+    everything = f"(SELECT count(*) FROM shipments WHERE {condition})"
+    share = f"cast(count(*) AS double) / {everything} * 1e2"
     return sql(
         _ON_SHIPMENTS,
         f"""SELECT logistics_delay_reason AS delay_reason, {rounding.format(share)} AS {name}
@@ -283,12 +288,12 @@ _CONFUSION = """count(*) FILTER (WHERE logistics_delay = 1 AND prediction = 1) A
     count(*) FILTER (WHERE logistics_delay = 0 AND prediction = 1) AS fp,
     count(*) FILTER (WHERE logistics_delay = 1 AND prediction = 0) AS fn,
     avg(CASE WHEN logistics_delay = prediction THEN 1 ELSE 0 END) AS acc"""
-_F1 = "round(2e0 * tp / (2 * tp + fp + fn), 6)"
+_F1 = "round(2e0 * tp / (2 * tp + fp + fn) + 1e-9, 6)"
 
 BRIDGE_COLUMNS = """month, store_id, product_id, category, region,
-  round(units_ordered, 6) AS units_ordered, stockout_occurred, stockout_risk,
-  round(forecast_ape, 6) AS forecast_ape, shipment_id, asset_id, shipment_status,
-  traffic_status, round(waiting_time, 6) AS waiting_time, logistics_delay,
+  round(units_ordered + 1e-9, 6) AS units_ordered, stockout_occurred, stockout_risk,
+  round(forecast_ape + 1e-9, 6) AS forecast_ape, shipment_id, asset_id, shipment_status,
+  traffic_status, round(waiting_time + 1e-9, 6) AS waiting_time, logistics_delay,
   logistics_delay_reason, delivered_on_time, perfect_order"""
 
 DETAIL = """shipment_id, ts, asset_id, shipment_status, traffic_status, waiting_time,
@@ -359,7 +364,7 @@ FULL JOIN (SELECT month, count(*) AS shipments FROM shipments GROUP BY month) US
     "b24_rename": shipment_column("on_time_flag AS delivered_on_time"),
     "b25_percent": sql(
         _ON_ROWS,
-        """SELECT region, round(avg(stockout_occurred) * 1e2, 6) AS stockout_rate_pct
+        """SELECT region, round(avg(stockout_occurred) * 1e2 + 1e-9, 6) AS stockout_rate_pct
 FROM rows_ GROUP BY region""",
     ),
     "b26_round_half_even": shipment_column("round_even(waiting_time / 8, 1) AS waiting_eighths"),
@@ -411,7 +416,7 @@ FROM rows_ WHERE category = 'NO SUCH CATEGORY'""",
         _ON_RETAIL, "SELECT min(date) AS min_date, max(date) AS max_date FROM retail"
     ),
     "c9_metric_lookup": sql(
-        _ON_HELD_OUT, f"SELECT round({wape('demand_forecast')}, 6) AS supplied FROM held_out"
+        _ON_HELD_OUT, f"SELECT round({wape('demand_forecast')} + 1e-9, 6) AS supplied FROM held_out"
     ),
     "j1_bridge_pairing": sql(_ON_BRIDGE, f"SELECT {BRIDGE_COLUMNS} FROM bridge"),
     "j2_baseline_of_test_rows": retail_column(
@@ -420,7 +425,7 @@ FROM rows_ WHERE category = 'NO SUCH CATEGORY'""",
     "j3_global_mean": sql(
         _ON_RETAIL,
         """SELECT store_id, product_id,
-  round((SELECT avg(units_sold) FROM retail), 6) AS fill
+  round((SELECT avg(units_sold) FROM retail) + 1e-9, 6) AS fill
 FROM retail GROUP BY store_id, product_id""",
     ),
     "j4_series_mean_on_rows": series_column("avg_daily_sales_7d"),
@@ -444,8 +449,8 @@ GROUP BY month, region, category""",
     "g3_monthly_overall": sql(
         _ON_CLEANED,
         f"""SELECT month, {money()}, {units()},
-  round(sum(forecast_abs_error) / nullif(sum(units_sold), 0) * 1e2, 6) AS forecast_wape_pct,
-  round(avg(stockout_occurred) * 1e2, 6) AS stockout_rate_pct,
+  round(sum(forecast_abs_error) / nullif(sum(units_sold), 0) * 1e2 + 1e-9, 6) AS forecast_wape_pct,
+  round(avg(stockout_occurred) * 1e2 + 1e-9, 6) AS stockout_rate_pct,
   {mean("days_of_supply", "avg_days_of_supply")}
 FROM cleaned GROUP BY month""",
     ),
@@ -462,16 +467,16 @@ FROM shipments GROUP BY traffic_status""",
     "g9_monthly_otd": sql(_ON_SHIPMENTS, MONTHLY_OTD),
     "g10_replenishment_events": sql(
         _ON_EVENTS,
-        """SELECT * REPLACE (round(units_ordered, 6) AS units_ordered,
-  round(forecast_ape, 6) AS forecast_ape) FROM events_""",
+        """SELECT * REPLACE (round(units_ordered + 1e-9, 6) AS units_ordered,
+  round(forecast_ape + 1e-9, 6) AS forecast_ape) FROM events_""",
     ),
     "g11_perfect_order_by_category": sql(_ON_BRIDGE, f"{PERFECT} GROUP BY category"),
     "g12_kpi_cards": sql(
         _ON_BRIDGE,
         f"""SELECT {money("total_revenue")}, {units()},
   {mean("stockout_occurred", "stockout_rate")},
-  (SELECT round(avg(on_time_flag), 6) FROM shipments WHERE {PICKED_TRUCKS}) AS on_time_rate,
-  (SELECT round(avg(perfect_order), 6) FROM bridge WHERE {IN_CATEGORY}) AS perfect_order_rate
+  (SELECT round(avg(on_time_flag) + 1e-9, 6) FROM shipments WHERE {PICKED_TRUCKS}) AS on_time_rate,
+  (SELECT round(avg(perfect_order) + 1e-9, 6) FROM bridge WHERE {IN_CATEGORY}) AS perfect_order_rate
 FROM rows_ WHERE {PICKED_RETAIL}""",
     ),
     "g13_revenue_by_category": sql(
@@ -491,7 +496,7 @@ FROM rows_ WHERE {PICKED_RETAIL} GROUP BY category""",
         f"""SELECT traffic_status, {mean("on_time_flag", "on_time_rate")}
 FROM shipments WHERE {PICKED_TRUCKS} GROUP BY traffic_status""",
     ),
-    "g17_delay_causes": causes("share_pct", "round({}, 6)", PICKED_TRUCKS),
+    "g17_delay_causes": causes("share_pct", "round({} + 1e-9, 6)", PICKED_TRUCKS),
     "g18_truck_table": sql(_ON_SHIPMENTS, f"{TRUCKS} WHERE {PICKED_TRUCKS} GROUP BY asset_id"),
     "g19_monthly_on_time": sql(
         _ON_SHIPMENTS,
@@ -500,15 +505,15 @@ FROM shipments WHERE {PICKED_TRUCKS} GROUP BY month""",
     ),
     "g20_rate_components": sql(
         _ON_BRIDGE,
-        f"""SELECT round(avg(CASE WHEN stockout_occurred = 0 THEN 1 ELSE 0 END) * 1e2, 6)
+        f"""SELECT round(avg(CASE WHEN stockout_occurred = 0 THEN 1 ELSE 0 END) * 1e2 + 1e-9, 6)
     AS stockout_free_pct,
-  round(avg(delivered_on_time) * 1e2, 6) AS on_time_pct
+  round(avg(delivered_on_time) * 1e2 + 1e-9, 6) AS on_time_pct
 FROM bridge WHERE {IN_CATEGORY}""",
     ),
     "g21_headline_rates": sql(
         _ON_BRIDGE,
         f"""SELECT {mean("on_time_flag", "on_time_rate")},
-  (SELECT round(avg(perfect_order), 6) FROM bridge) AS perfect_order_rate FROM shipments""",
+  (SELECT round(avg(perfect_order) + 1e-9, 6) FROM bridge) AS perfect_order_rate FROM shipments""",
     ),
     "g22_filtered_promo": sql(
         _ON_RETAIL, f"SELECT * FROM ({PROMO_LIFT}) WHERE {IN_CATEGORY}"
@@ -521,7 +526,7 @@ FROM bridge WHERE {IN_CATEGORY}""",
     ),
     "w1_avg_daily_sales_7d": series_column("avg_daily_sales_7d"),
     "w2_lagged_mean": series_column("naive_ma7_forecast"),
-    "w3_share_of_total": causes("share_pct", "round({}, 6)"),
+    "w3_share_of_total": causes("share_pct", "round({} + 1e-9, 6)"),
     "k1_sorted_panel": retail_column("units_sold", _ON_RETAIL, "retail") + f" ORDER BY {KEY}",
     "k2_sort_desc": sql(
         _ON_ROWS,
@@ -549,19 +554,19 @@ WHERE logistics_delay = 1 GROUP BY logistics_delay_reason ORDER BY n DESC""",
     ),
     "r1_pivot": sql(
         _ON_RETAIL,
-        f"""SELECT category, round(a, 6) AS avg_units_no_promo,
-  round(b, 6) AS avg_units_with_promo FROM ({PROMO})""",
+        f"""SELECT category, round(a + 1e-9, 6) AS avg_units_no_promo,
+  round(b + 1e-9, 6) AS avg_units_with_promo FROM ({PROMO})""",
     ),
     "r2_metric_unpivot": sql(
         _ON_HELD_OUT,
         f"""SELECT 'WAPE (%)' AS metric, 'naive_moving_avg_baseline' AS model,
-  round({wape("naive_ma7_forecast")}, 6) AS wape FROM held_out
+  round({wape("naive_ma7_forecast")} + 1e-9, 6) AS wape FROM held_out
 UNION ALL SELECT 'WAPE (%)' AS metric, 'supplied' AS model,
-  round({wape("demand_forecast")}, 6) AS wape FROM held_out""",
+  round({wape("demand_forecast")} + 1e-9, 6) AS wape FROM held_out""",
     ),
     "r3_metric_table": sql(
         _ON_RULE,
-        f"""SELECT 'Accuracy' AS metric, round(acc, 6) AS value
+        f"""SELECT 'Accuracy' AS metric, round(acc + 1e-9, 6) AS value
 FROM (SELECT {_CONFUSION} FROM rule_)
 UNION ALL SELECT 'F1_Score' AS metric, {_F1} AS value FROM (SELECT {_CONFUSION} FROM rule_)""",
     ),
@@ -571,11 +576,11 @@ UNION ALL SELECT 'F1_Score' AS metric, {_F1} AS value FROM (SELECT {_CONFUSION}
 FROM bridge""",
     ),
     "m1_wape_baseline": sql(
-        _ON_HELD_OUT, f"SELECT round({wape('naive_ma7_forecast')}, 6) AS wape FROM held_out"
+        _ON_HELD_OUT, f"SELECT round({wape('naive_ma7_forecast')} + 1e-9, 6) AS wape FROM held_out"
     ),
     "m2_wape_zero_volume": sql(
         _ON_RETAIL,
-        f"""SELECT l_orderkey, round({wape("demand_forecast")}, 6) AS wape
+        f"""SELECT l_orderkey, round({wape("demand_forecast")} + 1e-9, 6) AS wape
 FROM retail GROUP BY l_orderkey""",
     ),
     "m3_mae_baseline": sql(
@@ -587,15 +592,15 @@ FROM retail GROUP BY l_orderkey""",
   {mean("abs(units_sold - naive_ma7_forecast)", "naive_moving_avg_baseline")},
   {mean("abs(units_sold - demand_forecast)", "supplied")} FROM held_out
 UNION ALL SELECT 'WAPE (%)' AS metric,
-  round({wape("naive_ma7_forecast")}, 6) AS naive_moving_avg_baseline,
-  round({wape("demand_forecast")}, 6) AS supplied FROM held_out""",
+  round({wape("naive_ma7_forecast")} + 1e-9, 6) AS naive_moving_avg_baseline,
+  round({wape("demand_forecast")} + 1e-9, 6) AS supplied FROM held_out""",
     ),
     "m5_accuracy": sql(
-        _ON_RULE, f"SELECT round(acc, 6) AS accuracy FROM (SELECT {_CONFUSION} FROM rule_)"
+        _ON_RULE, f"SELECT round(acc + 1e-9, 6) AS accuracy FROM (SELECT {_CONFUSION} FROM rule_)"
     ),
     "m6_f1_positive": sql(_ON_RULE, f"SELECT {_F1} AS f1 FROM (SELECT {_CONFUSION} FROM rule_)"),
     "m7_forecast_leakage": sql(
-        _ON_RETAIL, "SELECT round(corr(demand_forecast, units_sold), 6) AS correlation FROM retail"
+        _ON_RETAIL, "SELECT round(corr(demand_forecast, units_sold) + 1e-9, 6) AS correlation FROM retail"
     ),
     "m8_attribute_stability": sql(
         _ON_RETAIL,

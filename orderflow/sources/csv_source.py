@@ -35,6 +35,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
         .csv(path)
     )
     named = normalise_header(raw)

@@ -47,8 +47,13 @@ def write_table(df: DataFrame, out_dir: str, name: str) -> None:
     """
     month = PARTITIONED.get(name)
     if month is not None:
-        df.hint("rebalance", month).write.mode("overwrite").partitionBy(month).parquet(
-            f"{out_dir}/{name}"
+        # Static overwrite: months that a new run no longer has must go.
+        (
+            df.hint("rebalance", month)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(month)
+            .parquet(f"{out_dir}/{name}")
         )
     else:
         df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
@@ -61,7 +66,8 @@ def export_csv(df: DataFrame, out_dir: str, name: str) -> None:
         order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
         df = df.repartition(1).sortWithinPartitions(order, df.columns[0])
     titled = df.toDF(*[heading(c) for c in df.columns])
-    titled.write.mode("overwrite").option("header", True).csv(f"{out_dir}/csv/{name}")
+    writer = titled.write.mode("overwrite").option("header", True).option("escape", '"')
+    writer.csv(f"{out_dir}/csv/{name}")
 
 
 def read_table(spark: SparkSession, out_dir: str, name: str) -> DataFrame:

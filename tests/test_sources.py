@@ -55,6 +55,12 @@ def test_other_columns_pass_through(spark, tmp_path):
     assert read_retail_csv(spark, path).first()["promo_code"] == "x1"
 
 
+def test_quotes_inside_a_field(spark, tmp_path):
+    text = 'Toys, "soft" and \\hard'
+    path = write_csv(tmp_path / "r.csv", [{**RETAIL_ROW, "Category": text}])
+    assert read_retail_csv(spark, path).first()["category"] == text
+
+
 def test_absent_column_is_an_error(spark, tmp_path):
     row = {k: v for k, v in RETAIL_ROW.items() if k != "Price"}
     with pytest.raises(ValueError, match="price"):
