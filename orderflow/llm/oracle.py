@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderflow.llm import line_dedup, license_scan
+from orderflow.llm import license_scan, line_dedup, merkle
 
 
 def _quoted(text: str) -> str:
@@ -99,8 +99,39 @@ SELECT conv_id, len(said) AS n_turns, copies,
 FROM kept
 """
 
+_LEAVES = f"""list_transform(regexp_extract_all({{t}}, '{merkle.PIECES}'),
+           lambda x: left(sha256(x), 16))"""
+_PRINT = """(SELECT sha256(array_to_string(list_transform(own, lambda s: left(sha256(s), 32)), '')) || ':'
+    || array_to_string(list_transform(own, lambda s: left(sha256(s), 32) || '(' || s || ')'), '')
+   FROM (SELECT list_transform(list_filter(string_split(array_to_string(list_transform({l},
+     lambda x: x || CASE WHEN left(x, 1) IN ('0', '1') THEN ';' ELSE ',' END), ''), ';'),
+     lambda s: s <> ''), lambda s: rtrim(s, ',')) AS own))"""
+_LIKE = """CASE WHEN len({a}) + len({b}) = 0 THEN 1e0 ELSE 2e0 * len(list_intersect({a}, {b}))
+           / (len(list_distinct({a})) + len(list_distinct({b}))) END"""
+MERKLE = f"""
+WITH chained AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id),
+                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next_text
+  FROM documents),
+edited AS (
+  SELECT *, length(text) AS n_chars,
+         left(text, length(text) - length(text) // 2) || left(next_text, length(text) // 2) AS edited
+  FROM chained),
+trees AS (
+  SELECT *, {_LEAVES.format(t="text")} AS own, {_LEAVES.format(t="edited")} AS changed,
+         {_LEAVES.format(t="next_text")} AS following
+  FROM edited)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
+       {_PRINT.format(l="own")} AS fingerprint, {_PRINT.format(l="changed")} AS edited_fingerprint,
+       {_LIKE.format(a="own", b="changed")} AS near_edited,
+       {_LIKE.format(a="own", b="following")} AS near_next
+FROM trees
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
+    "op6_merkle": MERKLE,
     "op7_url_filter": URL_FILTER,
     "op8_license_scan": LICENSE_SCAN,
     "op9_chat_format": CHAT_FORMAT,

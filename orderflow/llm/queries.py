@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe, chat, license_scan, line_dedup, url_rules
+from orderflow.llm import (
+    bagminhash,
+    bpe,
+    chat,
+    decontaminate,
+    license_scan,
+    line_dedup,
+    merkle,
+    sharding,
+    toxicity,
+    url_rules,
+)
 from orderflow.llm.common import documents
 
 #: Fixed values of the url query: verdict, host, path.
@@ -19,11 +30,36 @@ URL_RULES = (
 )
 
 
+def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), shards=8)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(documents(spark, sf_dir)).select(
         "doc_id", "n_lines", "n_dropped", "text")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(documents(spark, sf_dir))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_next(documents(spark, sf_dir))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return url_rules.judge(pages, url_rules.rule_table(spark, URL_RULES))
@@ -51,4 +87,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_dedup, op7_url_filter, op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    op1_shards, op2_line_dedup, op3_toxicity, op4_bagminhash, op5_decontamination,
+    op6_merkle, op7_url_filter, op8_license_scan, op9_chat_format, op10_byte_bpe)}
