@@ -10,10 +10,11 @@ each are the repetitions, and a pair of windows is a candidate if one key agrees
 
 The samples lie in the first ``STEPS`` steps, so only these are walked, and they are
 the same for windows of any item's size. Items enter the table with the windows at
-all their words; documents are asked at every ``STRIDE``-th word and at their start.
-An item of n words thus meets about n / STRIDE windows of a copy, each with all
-repetitions. Around each candidate the item's edit distance to the best place is
-computed exactly (bit-parallel); up to (1 - similarity) of the item's size is a leak.
+all their words, and documents are asked at all of theirs, so each word of an item
+adds repetitions: nearly every copy with one edit in ten bytes is met, and 19 of 20
+with one in seven. A candidate must have the trigrams that so few edits leave at least (each
+edit breaks three), which passes all true ones. Then the item's edit distance to the
+best place around is computed exactly (bit-parallel); up to (1 - similarity) of the item's size is a leak.
 
 No text is shuffled. Items go to the tasks in blocks of at most ``BLOCK`` items, so
 the broadcast has a bound; more blocks mean more passes over the documents.
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SIMILARITY = 0.8
-STRIDE, STEPS, WALKS, SAMPLES, BITS = 4, 40, 2, 2, 12
+STEPS, WALKS, SAMPLES, BITS = 56, 2, 2, 16
 #: Shorter items are sampled from fewer steps.
 LEAST, SHORT_STEPS, SHORT_BITS = 8, 14, 6
 SHORT = 32
@@ -74,7 +75,6 @@ class Table:
 
     steps: int
     bits: int
-    stride: int
     keys: tuple[np.ndarray, ...]
     item: tuple[np.ndarray, ...]
     offset: tuple[np.ndarray, ...]
@@ -105,7 +105,7 @@ def _word_starts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(data[:-1] == BLANK) + 1
 
 
-def _table(items: list[tuple[int, np.ndarray]], steps: int, bits: int, stride: int) -> Table | None:
+def _table(items: list[tuple[int, np.ndarray]], steps: int, bits: int) -> Table | None:
     if not items:
         return None
     data, where, number, offset, at = [], [], [], [], 0
@@ -129,7 +129,7 @@ def _table(items: list[tuple[int, np.ndarray]], steps: int, bits: int, stride: i
         item.append(number[order])
         place.append(offset[order])
         met.append(seen)
-    return Table(steps, bits, stride, tuple(keys), tuple(item), tuple(place), tuple(met))
+    return Table(steps, bits, tuple(keys), tuple(item), tuple(place), tuple(met))
 
 
 def edit_ends(pattern: bytes, text: bytes) -> tuple[int, int]:
@@ -165,12 +165,18 @@ def best_place(pattern: bytes, text: bytes, most: int) -> tuple[int, int, int] |
     return distance, stop - back, stop
 
 
+def trigrams(data: np.ndarray) -> np.ndarray:
+    wide = data.astype(np.int32)
+    return wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16
+
+
 class Searcher:
     """Finds items in slices of concatenated texts."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float):
         self.items: dict[int, bytes] = {}
         self.ids: dict[int, int] = {}
+        self.trigrams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.similarity = similarity
         bodies = []
         for number, (item_id, text) in enumerate(items):
@@ -178,17 +184,17 @@ class Searcher:
             if len(body) >= LEAST:
                 self.items[number], self.ids[number] = body.tobytes(), item_id
                 bodies.append((number, body))
+                self.trigrams[number] = np.unique(trigrams(body), return_counts=True)
         self.tables = [t for t in (
-            _table([x for x in bodies if len(x[1]) >= SHORT], STEPS, BITS, STRIDE),
-            _table([x for x in bodies if len(x[1]) < SHORT], SHORT_STEPS, SHORT_BITS, 1),
+            _table([x for x in bodies if len(x[1]) >= SHORT], STEPS, BITS),
+            _table([x for x in bodies if len(x[1]) < SHORT], SHORT_STEPS, SHORT_BITS),
         ) if t]
 
     def candidates(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Rows (item, expected start) of windows that share a key with an item's window."""
-        words, found = _word_starts(data), []
+        starts, found = np.union1d(_word_starts(data), begins[begins < len(data)]), []
         padded = np.concatenate([data, np.zeros(STEPS + 1, np.uint8)])
         for table in self.tables:
-            starts = np.union1d(words[:: table.stride], begins[begins < len(data)])
             for r, key in enumerate(walk_keys(padded, starts, table.steps, table.bits)):
                 at = np.flatnonzero(table.met[r][key >> np.uint64(64 - FILTER_BITS)])
                 low = np.searchsorted(table.keys[r], key[at], "left")
@@ -200,6 +206,14 @@ class Searcher:
                                        np.repeat(starts[at], many) - table.offset[r][flat]], 1))
         return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
+    def may_hold(self, item: int, data: np.ndarray, most: int) -> bool:
+        """False only if more than ``most`` edits are needed, by the count of trigrams."""
+        own, counts = self.trigrams[item]
+        there, times = np.unique(trigrams(data), return_counts=True)
+        at = np.minimum(np.searchsorted(there, own), len(there) - 1)
+        shared = np.minimum(counts, times[at])[there[at] == own].sum() if len(there) else 0
+        return shared >= counts.sum() - 3 * most
+
     def search(self, data: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
         """Leaks of each text; text i is data[bounds[i]:bounds[i + 1]]."""
         out: list[list[dict]] = [[] for _ in range(len(bounds) - 1)]
@@ -223,7 +237,8 @@ class Searcher:
             spans = tried.setdefault((d, i), [])
             if any(a <= start <= b for a, b in spans):
                 continue
-            got = best_place(body, own[low:high].tobytes(), most)
+            region = own[low:high]
+            got = self.may_hold(i, region, most) and best_place(body, region.tobytes(), most)
             if not got:
                 spans.append((start - most // 4, start + most // 4))
                 continue

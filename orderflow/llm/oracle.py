@@ -101,11 +101,11 @@ FROM kept
 
 _LEAVES = f"""list_transform(regexp_extract_all({{t}}, '{merkle.PIECES}'),
            lambda x: left(sha256(x), 16))"""
-_PRINT = """(SELECT sha256(array_to_string(list_transform(own, lambda s: left(sha256(s), 32)), '')) || ':'
-    || array_to_string(list_transform(own, lambda s: left(sha256(s), 32) || '(' || s || ')'), '')
-   FROM (SELECT list_transform(list_filter(string_split(array_to_string(list_transform({l},
+_SECTIONS = """list_transform(list_filter(string_split(array_to_string(list_transform({l},
      lambda x: x || CASE WHEN left(x, 1) IN ('0', '1') THEN ';' ELSE ',' END), ''), ';'),
-     lambda s: s <> ''), lambda s: rtrim(s, ',')) AS own))"""
+     lambda s: s <> ''), lambda s: rtrim(s, ','))"""
+_PRINT = """sha256(array_to_string(list_transform({s}, lambda s: left(sha256(s), 32)), '')) || ':'
+    || array_to_string(list_transform({s}, lambda s: left(sha256(s), 32) || '(' || s || ')'), '')"""
 _LIKE = """CASE WHEN len({a}) + len({b}) = 0 THEN 1e0 ELSE 2e0 * len(list_intersect({a}, {b}))
            / (len(list_distinct({a})) + len(list_distinct({b}))) END"""
 MERKLE = f"""
@@ -121,12 +121,16 @@ edited AS (
 trees AS (
   SELECT *, {_LEAVES.format(t="text")} AS own, {_LEAVES.format(t="edited")} AS changed,
          {_LEAVES.format(t="next_text")} AS following
-  FROM edited)
+  FROM edited),
+sections AS (
+  SELECT *, {_SECTIONS.format(l="own")} AS own_sections,
+         {_SECTIONS.format(l="changed")} AS changed_sections
+  FROM trees)
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
-       {_PRINT.format(l="own")} AS fingerprint, {_PRINT.format(l="changed")} AS edited_fingerprint,
+       {_PRINT.format(s="own_sections")} AS fingerprint, {_PRINT.format(s="changed_sections")} AS edited_fingerprint,
        {_LIKE.format(a="own", b="changed")} AS near_edited,
        {_LIKE.format(a="own", b="following")} AS near_next
-FROM trees
+FROM sections
 """
 
 ORACLE = {
