@@ -13,6 +13,7 @@ from orderflow.plans.pipeline import ROW_ID, run_pipeline
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Build the supply-chain result tables.")
+    # Names of the published inputs and of the result folder.
     parser.add_argument("--retail_csv", default="data_raw/retail_store_inventory.csv")
     parser.add_argument("--logistics_csv", default="data_raw/smart_logistics_dataset.csv")
     parser.add_argument("--out_dir", default="data_processed")
@@ -20,7 +21,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         "--tie_breakers",
         nargs="*",
         default=[ROW_ID],
-        help="columns that order rows of one store, product and day",
+        help="columns that order rows of one store, product and day; name or name:type",
     )
     parser.add_argument("--demand_trees", type=int, default=demand.SIZE.trees)
     parser.add_argument("--demand_depth", type=int, default=demand.SIZE.depth)

@@ -16,10 +16,11 @@ from orderflow.models.forest import (
     feature_importance,
     forest_pipeline,
     positive_probability,
+    spread,
     stratified_split,
 )
-from orderflow.session import stage
 
+# Features and size of the published model.
 NUMERIC = (
     "temperature",
     "humidity",
@@ -48,16 +49,14 @@ def train_delay_model(
     key: str = "shipment_id",
     size: ForestSize = SIZE,
     seed: int = SEED,
-    *,
-    stage_features: bool = True,
 ) -> DelayResult:
     """Fit on a stratified 80 %, test on the rest, then score every shipment.
 
-    Features are staged unless ``logistics`` is a stored table already.
+    The features are staged, in enough parts for parallel training.
     """
-    features = logistics.select(key, TARGET, *CATEGORICAL, *NUMERIC)
-    if stage_features:
-        features = stage(features, "delay-features")
+    features = spread(
+        logistics.select(key, TARGET, *CATEGORICAL, *NUMERIC), [key], "delay-features"
+    )
     train, test = stratified_split(features, [key], TARGET, seed)
     forest = RandomForestClassifier(
         labelCol=TARGET,

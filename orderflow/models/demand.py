@@ -18,9 +18,10 @@ from orderflow.models.forest import (
     feature_importance,
     forest_pipeline,
     split,
+    spread,
 )
-from orderflow.session import stage
 
+# Features and size of the published model.
 NUMERIC = ("price", "discount", "competitor_pricing", "holiday_promotion", "month_num")
 CATEGORICAL = (
     "store_id",
@@ -57,17 +58,13 @@ def train_demand_model(
     keys: Sequence[str],
     size: ForestSize = SIZE,
     seed: int = SEED,
-    *,
-    stage_features: bool = True,
 ) -> DemandResult:
     """Fit on 80 % of the rows and compare with the moving average on the rest.
 
-    Fitting reads its input several times. Unless ``retail`` is a stored table
-    already, the features are staged so that its windows and joins run once.
+    Fitting reads its input several times, so the features are staged: windows and
+    joins run once, and training has enough tasks.
     """
-    features = demand_features(retail, keys)
-    if stage_features:
-        features = stage(features, "demand-features")
+    features = spread(demand_features(retail, keys), keys, "demand-features")
     train, test = split(features, keys, seed)
     forest = RandomForestRegressor(
         labelCol=TARGET,

@@ -11,9 +11,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.expr import in_test_split
+from orderflow.functions.expr import in_test_split, key_hash
+from orderflow.operators.bridge import number_within
+from orderflow.session import stage
 
 SEED = 42
+TEST_SHARE = 0.2
 #: Spark bins continuous features; 128 bins stay close to trying every value.
 MAX_BINS = 128
 #: Settings of both forests. Cached node ids spare each pass the walk down every
@@ -78,8 +81,34 @@ def split(df: DataFrame, keys: Sequence[str], seed: int = SEED) -> tuple[DataFra
 def stratified_split(
     df: DataFrame, keys: Sequence[str], label: str, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """As :func:`split`, drawn separately inside each label value."""
-    return split(df, [label, *keys], seed)
+    """Train and test part with 20 % of the rows of every label, rounded.
+
+    Rows are numbered inside their label in the order of their hashed key, bucket
+    by bucket, so a label that most rows share needs no task of its own.
+    """
+    numbered = number_within(df, label, keys, "_number", seed)
+    sizes = df.groupBy(F.col(label).alias("_label")).agg(
+        F.floor(F.count(F.lit(1)) * TEST_SHARE + 0.5).alias("_test")
+    )
+    # one row per label value
+    marked = numbered.join(F.broadcast(sizes), F.col(label).eqNullSafe(F.col("_label")))
+    tested = F.col("_number") < F.col("_test")
+    return (
+        marked.where(~tested).select(*df.columns),
+        marked.where(tested).select(*df.columns),
+    )
+
+
+def spread(features: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Staged features, dealt by the hash of the row key to as many tasks as run at once.
+
+    Growing trees is bound by compute, so narrow features in a few files would
+    otherwise train in a few tasks.
+    """
+    spark = features.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return stage(features.repartition(tasks, key_hash(SEED, *keys)), name)
 
 
 def feature_names(scored: DataFrame) -> list[str]:

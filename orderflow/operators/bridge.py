@@ -6,6 +6,8 @@ replacement: a disclosed simulation, not a join on real data.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,6 +75,35 @@ def number_rows(df: DataFrame, key: str, name: str, seed: int = SEED) -> DataFra
     )
 
 
+def number_within(
+    df: DataFrame, group: str, keys: Sequence[str], name: str, seed: int = SEED, bits: int = 10
+) -> DataFrame:
+    """Dense numbers 0..n-1 inside each ``group`` value, in the order of the hashed keys.
+
+    As :func:`number_rows`, with 2**bits buckets for each value; missing values are
+    one group. The running totals are over one row per value and bucket.
+    """
+    hashed = df.withColumn("_hash", key_hash(seed, group, *keys)).withColumn(
+        "_bucket", F.shiftright("_hash", HASH_BITS - bits)
+    )
+    before = (
+        Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = (
+        hashed.groupBy(F.col(group).alias("_group"), F.col("_bucket").alias("_at"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_group", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    in_bucket = Window.partitionBy(group, "_bucket").orderBy("_hash", *keys)
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_bucket") == F.col("_at"))
+    return (
+        hashed.withColumn("_rank", F.row_number().over(in_bucket) - 1)
+        .join(starts, same)
+        .withColumn(name, F.col("_start") + F.col("_rank"))
+        .drop("_hash", "_bucket", "_rank", "_group", "_at", "_start")
+    )
+
+
 def build_bridge(
     retail: DataFrame, logistics: DataFrame, shipment_key: str = "shipment_id", seed: int = SEED
 ) -> DataFrame:

@@ -2,18 +2,22 @@
 
 A plain window puts each series into one task. That is right for a daily panel,
 where a series has one row per day, but not when a single series holds a large
-part of the table. Long series are therefore cut into consecutive chunks of
-bounded size; each chunk also receives the few rows that precede it, so every
-frame sees exactly the rows it would see in the uncut series.
+part of the table. The rows of long series are therefore range-partitioned by
+series and order into cells of bounded size; each cell also receives the few rows
+that precede it, so every frame sees exactly the rows it would see in the uncut
+series. The order may be of any type; only rows that agree in all of it share a cell
+for certain.
+
+A row without a series key belongs to no series: its means are missing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window, WindowSpec
 
 from orderflow.session import stage
@@ -21,8 +25,6 @@ from orderflow.session import stage
 TRAILING_ROWS = 7
 #: Most rows of one series that a single task should sort.
 LONG_SERIES_ROWS = 2_000_000
-#: Cell number of the rows of a chunk that do not belong to a long day.
-NO_CELL = -1
 
 
 def _means(value: str, window: WindowSpec) -> dict[str, Column]:
@@ -36,90 +38,61 @@ def _means(value: str, window: WindowSpec) -> dict[str, Column]:
     }
 
 
-def _tie_number(df: DataFrame, order: Sequence[str]) -> Column:
-    """First tie-breaker as a number, or 0 where it is absent or not a number."""
-    if len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.IntegralType):
-        return F.col(order[1]).cast("bigint")
-    return F.lit(0).cast("bigint")
-
-
-def _long_series(df: DataFrame, series: Sequence[str], long_rows: int) -> DataFrame:
-    """Keys of the long series; there are at most (all rows / long_rows) of them."""
-    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > long_rows).select(*series)
+def _has_key(series: Sequence[str]) -> Column:
+    return reduce(Column.__and__, (F.col(c).isNotNull() for c in series))
 
 
-def _chunk_layout(
-    df: DataFrame, series: Sequence[str], order: Sequence[str], long_rows: int
+def _plain_means(
+    df: DataFrame, series: Sequence[str], order: Sequence[str], value: str
 ) -> DataFrame:
-    """Chunk of every day of long series: one row per series and day.
+    """One window per series. Rows without a key are scattered and get no means."""
+    apart = F.when(~_has_key(series), F.xxhash64(*order, value))
+    window = Window.partitionBy(*series, "_apart").orderBy(*order)
+    means = {n: F.when(_has_key(series), m) for n, m in _means(value, window).items()}
+    return df.withColumn("_apart", apart).withColumns(means).drop("_apart")
 
-    Works on pre-aggregated day counts, so a long series reaches the running
-    total as a list of days, not of rows. A day that is itself too long gets a
-    cell width, which cuts it again along its first tie-breaker.
-    """
-    day, tie = order[0], _tie_number(df, order)
-    days = df.groupBy(*series, day).agg(
-        F.count(F.lit(1)).alias("n"), F.min(tie).alias("low"), F.max(tie).alias("high")
-    )
-    before = (
-        Window.partitionBy(*series).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    start = F.coalesce(F.sum("n").over(before), F.lit(0))
-    width = F.ceil((F.col("high") - F.col("low") + 1) / F.ceil(F.col("n") / long_rows))
-    return days.select(
-        *series,
-        day,
-        F.floor(start / long_rows).alias("chunk"),
-        F.col("low").alias("cell_from"),
-        F.when(F.col("n") > long_rows, width).alias("cell_width"),
-    )
+
+def _long_series(df: DataFrame, series: Sequence[str], long_rows: int) -> DataFrame:
+    """Keys and sizes of the long series; at most (all rows / long_rows) of them."""
+    counts = df.where(_has_key(series)).groupBy(*series).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > long_rows)
 
 
-def _with_chunks(
-    df: DataFrame, layout: DataFrame, series: Sequence[str], order: Sequence[str]
+def _cells(
+    rows: DataFrame, n: int, series: Sequence[str], order: Sequence[str], long_rows: int
 ) -> DataFrame:
-    """Rows with (chunk, cell), which sort like the rows; short series stay whole.
+    """The ``n`` rows of long series with ``cell``, staged; cells sort like the rows.
 
-    A long day is always the last day of its chunk, as it fills more than one.
-    The layout is a Parquet table, so Catalyst knows its size: it is broadcast
-    when small and joined by key otherwise.
+    Ranges are cut by sampled row counts, on average at half of ``long_rows``, which
+    leaves room for the sampling error.
     """
-    cell = F.floor((_tie_number(df, order) - F.col("cell_from")) / F.col("cell_width"))
-    in_cell = F.when(F.col("cell_width").isNotNull(), F.coalesce(cell, F.lit(0)))
-    return (
-        df.join(layout, [*series, order[0]], "left")
-        .withColumn("chunk", F.coalesce("chunk", F.lit(0)))
-        .withColumn("cell", F.coalesce(in_cell, F.lit(NO_CELL)))
-        .drop("cell_from", "cell_width")
-    )
+    parts = max(1, -(-2 * n // long_rows))
+    ranged = rows.repartitionByRange(parts, *series, *order)
+    return stage(ranged.withColumn("cell", F.spark_partition_id()), "cells")
 
 
 def _lead_in_rows(
-    chunked: DataFrame, long: DataFrame, series: Sequence[str], order: Sequence[str], value: str
+    cells: DataFrame, series: Sequence[str], order: Sequence[str], value: str
 ) -> DataFrame:
-    """For every chunk of a long series, copies of the rows just before it.
+    """For every cell of a series, copies of the rows just before it.
 
-    Only the last 7 rows of each chunk travel. As no chunk is empty, the seven
-    chunks before one hold all the rows its frames can reach.
+    Only the last 7 rows of each cell travel. As no cell is empty, the seven cells
+    before one hold all the rows its frames can reach.
     """
-    chunk = [*series, "chunk", "cell"]
-    latest_first = Window.partitionBy(*chunk).orderBy(*[F.desc(c) for c in order])
+    cell = [*series, "cell"]
+    latest_first = Window.partitionBy(*cell).orderBy(*[F.desc(c) for c in order])
     tails = (
-        chunked.join(long, list(series), "left_semi")
-        .select(*chunk, *order, value)
+        cells.select(*cell, *order, value)
         .withColumn("from_end", F.row_number().over(latest_first))
         .where(F.col("from_end") <= TRAILING_ROWS)
-        .groupBy(*chunk)
+        .groupBy(*cell)
         .agg(F.collect_list(F.struct(*order, value)).alias("tail"))
     )
-    earlier = (
-        Window.partitionBy(*series).orderBy("chunk", "cell").rowsBetween(-TRAILING_ROWS, -1)
-    )
+    earlier = Window.partitionBy(*series).orderBy("cell").rowsBetween(-TRAILING_ROWS, -1)
     return (
         tails.withColumn("lead_in", F.flatten(F.collect_list("tail").over(earlier)))
-        .select(*chunk, F.explode("lead_in").alias("row"))
-        .select(*chunk, "row.*", F.lit(True).alias("is_lead_in"))
+        .select(*cell, F.explode("lead_in").alias("row"))
+        .select(*cell, "row.*", F.lit(True).alias("is_lead_in"))
     )
 
 
@@ -136,24 +109,25 @@ def with_trailing_means(
 
     ``order`` starts with the day and continues with tie-breakers. The search
     for long series counts rows by series key; it is skipped where
-    ``rows_at_most`` shows that none can exist. Only where it finds some, their
-    days are counted as well.
+    ``rows_at_most`` shows that none can exist. Where it finds some, their rows and
+    the others are computed apart.
     """
-    plain = Window.partitionBy(*series).orderBy(*order)
     if rows_at_most is not None and rows_at_most <= long_rows:
-        return df.withColumns(_means(value, plain))
-    long = stage(_long_series(df, series, long_rows), "long-series")
-    if long.isEmpty():
-        return df.withColumns(_means(value, plain))
-    rows_of_long = df.join(long, list(series), "left_semi")
-    layout = stage(_chunk_layout(rows_of_long, series, order, long_rows), "chunks")
-    chunked = _with_chunks(df, layout, series, order)
-    lead_in = _lead_in_rows(chunked, long, series, order, value)
-    within = Window.partitionBy(*series, "chunk", "cell").orderBy(*order)
-    return (
-        chunked.withColumn("is_lead_in", F.lit(False))
+        return _plain_means(df, series, order, value)
+    found = stage(_long_series(df, series, long_rows), "long-series")
+    n = found.agg(F.sum("n")).first()[0]
+    if not n:
+        return _plain_means(df, series, order, value)
+    long = found.select(*series)
+    cells = _cells(df.join(long, list(series), "left_semi"), n, series, order, long_rows)
+    lead_in = _lead_in_rows(cells, series, order, value)
+    within = Window.partitionBy(*series, "cell").orderBy(*order)
+    cut = (
+        cells.withColumn("is_lead_in", F.lit(False))
         .unionByName(lead_in, allowMissingColumns=True)
         .withColumns(_means(value, within))
         .where(~F.col("is_lead_in"))
-        .select(*df.columns, "avg_daily_sales_7d", "ma7_previous")
+        .drop("cell", "is_lead_in")
     )
+    rest = _plain_means(df.join(long, list(series), "left_anti"), series, order, value)
+    return cut.select(*rest.columns).unionByName(rest)

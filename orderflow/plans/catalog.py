@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 from pyspark.ml import Pipeline
@@ -28,11 +28,12 @@ from orderflow.operators.retail import (
 from orderflow.plans import report
 from orderflow.plans.pipeline import run_pipeline
 from orderflow.plans.report import FilterSpec
-from orderflow.session import shared_dir
+from orderflow.session import shared_dir, stage
 from orderflow.sources import csv_source, fixtures, tables
 from orderflow.sources.schemas import (
     LOGISTICS,
     LOGISTICS_COLUMNS,
+    DETAIL_COLUMNS,
     RETAIL,
     RETAIL_COLUMNS,
     column_name,
@@ -41,9 +42,17 @@ from orderflow.sources.schemas import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEY = list(fixtures.ROW_KEY)
+TYPED_TIE_BREAKERS = ("l_orderkey:bigint", "l_linenumber:int", "l_partkey:bigint", "l_suppkey:bigint")
 MONEY = ("revenue", "total_revenue")
-#: Forest size of the registered queries; the job keeps the full size.
-QUERY_SIZE = forest.ForestSize(trees=20, depth=6)
+#: Columns that the job adds to its inputs.
+DERIVED = (
+    "revenue", "forecast_error", "forecast_abs_error", "forecast_ape", "stockout_occurred",
+    "stockout_risk", "price_gap_vs_competitor", "priced_above_competitor", "year", "month",
+    "day_of_week", "avg_daily_sales_7d", "naive_ma7_forecast", "days_of_supply", "overstock_flag",
+)
+SHIPMENT_DERIVED = (
+    "logistics_delay_reason", "on_time_flag", "delivered_flag", "date", "month", "hour",
+)
 FILTERS = FilterSpec(
     regions=("ASIA", "EUROPE"),
     categories=("ECONOMY", "PROMO", "SMALL"),
@@ -81,8 +90,11 @@ def retail_cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retail_series(spark: SparkSession, sf: str) -> DataFrame:
+    """Series measures of the columns they need, staged: the overall mean reads them again."""
+    source = fixtures.retail_source(spark, sf)
+    needed = (*KEY, "units_sold", "inventory_level", "demand_forecast")
     return with_series_measures(
-        fixtures.retail_source(spark, sf),
+        stage(source.select(*needed), "series-input"),
         fixtures.TIE_BREAKERS,
         rows_at_most=fixtures.fixture_rows(spark, sf),
     )
@@ -92,20 +104,26 @@ def shipments(spark: SparkSession, sf: str) -> DataFrame:
     return clean_logistics(fixtures.logistics_source(spark, sf))
 
 
+def scored_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments with a score column that SQL can state, in place of the model's."""
+    score = F.pmod(F.col("shipment_id") * 37, F.lit(1000)) / 1000
+    return shipments(spark, sf).withColumn("delay_risk_score", score)
+
+
 def paired(spark: SparkSession, sf: str) -> DataFrame:
-    return bridge.build_bridge(retail_rows(spark, sf), shipments(spark, sf))
+    return bridge.build_bridge(retail_rows(spark, sf), scored_shipments(spark, sf))
 
 
 @lru_cache(maxsize=4)
 def _demand(app: str, sf: str) -> demand.DemandResult:
     spark = SparkSession.active()
-    return demand.train_demand_model(retail_cleaned(spark, sf), KEY, QUERY_SIZE)
+    return demand.train_demand_model(retail_cleaned(spark, sf), KEY)
 
 
 @lru_cache(maxsize=4)
 def _delay(app: str, sf: str) -> delay.DelayResult:
     spark = SparkSession.active()
-    return delay.train_delay_model(shipments(spark, sf), "shipment_id", QUERY_SIZE)
+    return delay.train_delay_model(shipments(spark, sf), "shipment_id")
 
 
 def demand_result(spark: SparkSession, sf: str) -> demand.DemandResult:
@@ -126,9 +144,7 @@ def _job(app: str, sf: str) -> str:
         export_retail(spark, sf),
         export_logistics(spark, sf),
         out,
-        tie_breakers=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-        demand_size=QUERY_SIZE,
-        delay_size=QUERY_SIZE,
+        tie_breakers=TYPED_TIE_BREAKERS,
     )
     return out
 
@@ -203,17 +219,32 @@ def a4_parse_dates(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def a5_sink_csv_export(spark: SparkSession, sf: str) -> DataFrame:
-    """A KPI table written as Parquet and CSV, read back from the CSV with its headings."""
+def _sunk(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Folder where a table is written as Parquet and exported as CSV."""
     out = fresh_path(spark, "sink")
-    name = "logistics_asset_kpi"
-    tables.write_table(g6_asset_kpi(spark, sf), out, name)
+    tables.write_table(df, out, name)
     tables.export_csv(tables.read_table(spark, out, name), out, name)
+    return f"{out}/csv/{name}"
+
+
+def a5_sink_csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    """A KPI table written as Parquet and CSV, read back from the CSV with its headings."""
+    path = _sunk(spark, g6_asset_kpi(spark, sf), "logistics_asset_kpi")
     types = (
         "Asset_ID string, Shipments bigint, On_Time_Rate double, Avg_Waiting_Time double, "
         "Avg_Asset_Utilization double, Delivered_Rate double"
     )
-    return spark.read.schema(types).option("header", True).csv(f"{out}/csv/{name}")
+    return spark.read.schema(types).option("header", True).csv(path)
+
+
+def a5_sink_small_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table of one CSV file."""
+    path = _sunk(spark, g5_promo_lift(spark, sf), "retail_promo_lift")
+    types = (
+        "Category string, Avg_Units_No_Promo double, Avg_Units_With_Promo double, "
+        "Promo_Lift_Pct double"
+    )
+    return spark.read.schema(types).option("header", True).csv(path)
 
 
 def _sizes(named: dict[str, DataFrame]) -> DataFrame:
@@ -233,13 +264,14 @@ def a6_report_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def a7_cached_tables(spark: SparkSession, sf: str) -> DataFrame:
-    out = job_output(spark, sf)
-    ready = tables.keep_in_memory(
-        {"logistics_cleaned": tables.read_table(spark, out, "logistics_cleaned")}
-    )["logistics_cleaned"]
-    by_traffic = report.on_time_by_traffic(ready).withColumnRenamed("traffic_status", "grp")
-    by_truck = report.truck_table(ready).select(F.col("asset_id").alias("grp"), "on_time_rate")
-    return rounded(by_traffic.union(by_truck))
+    """Panels over both row-level tables as the report keeps them; released with the session."""
+    ready = tables.keep_in_memory(tables.read_report_tables(spark, job_output(spark, sf)))
+    log, sold = ready["logistics_cleaned"], ready["retail_cleaned"]
+    by_traffic = report.on_time_by_traffic(log).withColumnRenamed("traffic_status", "grp")
+    by_truck = report.truck_table(log).select(F.col("asset_id").alias("grp"), "on_time_rate")
+    by_category = report.stockout_by_category(sold).toDF("grp", "on_time_rate")
+    result = by_traffic.union(by_truck).withColumn("panel", F.lit("on time"))
+    return rounded(result.union(by_category.withColumn("panel", F.lit("stockout"))))
 
 
 def a8_batch_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,6 +279,41 @@ def a8_batch_job(spark: SparkSession, sf: str) -> DataFrame:
     return _sizes({name: tables.read_table(spark, out, name) for name in tables.TABLES})
 
 
+def _stored(name: str, columns: Sequence[str] = ()) -> Query:
+    """Contents of one table that the batch job has written."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        df = tables.read_table(spark, job_output(spark, sf), name)
+        return rounded(df.select(*(columns or df.columns)))
+
+    return query
+
+
+def a8_bridge_perfect_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored bridge without the model's score."""
+    df = tables.read_table(spark, job_output(spark, sf), "bridge_perfect_order")
+    return rounded(df.drop("delay_risk_score"))
+
+
+def a8_bridge_with_risk(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the stored bridge whose score is that of their stored shipment."""
+    out = job_output(spark, sf)
+    pairs = tables.read_table(spark, out, "bridge_perfect_order")
+    scores = tables.read_table(spark, out, "logistics_cleaned").select(
+        "shipment_id", F.col("delay_risk_score").alias("_own")
+    )
+    same = pairs.join(scores, "shipment_id").where(
+        (F.col("delay_risk_score") == F.col("_own")) & F.col("_own").between(0, 1)
+    )
+    return same.select(*bridge.EVENT_KEY, "shipment_id")
+
+
+def _stored_picked(name: str) -> Query:
+    """A stored table as the report filters it."""
+    return lambda spark, sf: rounded(
+        FILTERS.by_category(tables.read_table(spark, job_output(spark, sf), name))
+    )
+
+
 # --- row-level columns -------------------------------------------------------------------
 
 
@@ -284,12 +351,11 @@ def b21_perfect_order(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def b22_projection(spark: SparkSession, sf: str) -> DataFrame:
-    columns = [c for c in report.DETAIL_COLUMNS if c != "delay_risk_score"]
-    return shipments(spark, sf).select("shipment_id", *columns)
+    return scored_shipments(spark, sf).select("shipment_id", *DETAIL_COLUMNS)
 
 
 def b23_optional_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """The bridge of a shipment table that lacks two of the optional columns."""
+    """The bridge of a shipment table that lacks three of the optional columns."""
     few = shipments(spark, sf).drop("waiting_time", "shipment_status")
     return bridge.build_bridge(retail_rows(spark, sf), few).drop("forecast_ape")
 
@@ -453,7 +519,7 @@ def k4_key_sorted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def k5_latest_shipments(spark: SparkSession, sf: str) -> DataFrame:
-    return report.latest_shipments(FILTERS.logistics(shipments(spark, sf)))
+    return report.latest_shipments(FILTERS.logistics(scored_shipments(spark, sf)))
 
 
 def k7_bridge_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -501,21 +567,6 @@ def g21_headline_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.headline_rates(shipments(spark, sf), paired(spark, sf)))
 
 
-def g22_filtered_promo(spark: SparkSession, sf: str) -> DataFrame:
-    lift = kpis.retail_promo_lift(fixtures.retail_source(spark, sf))
-    return rounded(FILTERS.by_category(lift))
-
-
-def g22_filtered_summary(spark: SparkSession, sf: str) -> DataFrame:
-    summary = kpis.retail_category_summary(retail_cleaned(spark, sf))
-    return rounded(FILTERS.by_category(summary))
-
-
-def g22_filtered_perfect_order(spark: SparkSession, sf: str) -> DataFrame:
-    rates = bridge.perfect_order_by_category(paired(spark, sf))
-    return rounded(FILTERS.by_category(rates))
-
-
 # --- models -----------------------------------------------------------------------------------
 
 
@@ -567,6 +618,48 @@ def l8_delay_risk(spark: SparkSession, sf: str) -> DataFrame:
     return delay_result(spark, sf).scored.select("shipment_id", "delay_risk_score")
 
 
+def l7_delay_metrics_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The model's metrics minus those counted again from its predictions."""
+    result = delay_result(spark, sf)
+    label, guess = F.col(delay.TARGET), F.col("prediction")
+    hit = F.count_if((label == 1) & (guess == 1))
+    again = result.predictions.agg(
+        F.avg((label == guess).cast("int")).alias("Accuracy"),
+        (2 * hit / (F.count_if(label == 1) + F.count_if(guess == 1))).alias("F1_Score"),
+    )
+    parts = [again.select(F.lit(m).alias("metric"), F.col(m).alias("again")) for m in again.columns]
+    both = result.metrics.join(parts[0].union(parts[1]), "metric")
+    return both.select("metric", F.round(F.abs(F.col("value") - F.col("again")), 6).alias("gap"))
+
+
+def l8_delay_risk_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments scored, and scores outside 0 to 1."""
+    score = F.col("delay_risk_score")
+    return delay_result(spark, sf).scored.agg(
+        F.countDistinct("shipment_id").alias("shipments"),
+        F.count_if(~score.between(0, 1) | score.isNull()).alias("outside"),
+    )
+
+
+def l6_demand_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows predicted, and predictions outside the range of units sold."""
+    rows = demand_result(spark, sf).predictions
+    return rows.agg(
+        F.count("prediction").alias("predicted"),
+        F.count_if(~F.col("prediction").between(0, 50)).alias("outside"),
+    )
+
+
+def _importance_check(result: Query) -> Query:
+    """Feature names, and the sum of all importances on each row."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        table = result(spark, sf).importance
+        whole = table.agg(F.round(F.sum("importance"), 6)).scalar()
+        return table.select("feature", whole.alias("total"))
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "a1_retail_csv_round_trip": a1_retail_csv_round_trip,
     "a2_logistics_csv_round_trip": a2_logistics_csv_round_trip,
@@ -576,6 +669,21 @@ QUERIES: dict[str, Query] = {
     "a6_report_tables": a6_report_tables,
     "a7_cached_tables": a7_cached_tables,
     "a8_batch_job": a8_batch_job,
+    "a5_sink_small_table": a5_sink_small_table,
+    "a8_retail_cleaned": _stored("retail_cleaned", (*KEY, *DERIVED)),
+    "a8_logistics_cleaned": _stored("logistics_cleaned", ("shipment_id", *SHIPMENT_DERIVED)),
+    "a8_retail_kpi_daily": _stored("retail_kpi_daily"),
+    "a8_retail_kpi_monthly": _stored("retail_kpi_monthly"),
+    "a8_retail_monthly_overall": _stored("retail_monthly_overall"),
+    "a8_retail_category_summary": _stored("retail_category_summary"),
+    "a8_retail_promo_lift": _stored("retail_promo_lift"),
+    "a8_logistics_asset_kpi": _stored("logistics_asset_kpi"),
+    "a8_logistics_traffic_kpi": _stored("logistics_traffic_kpi"),
+    "a8_logistics_delay_reason_kpi": _stored("logistics_delay_reason_kpi"),
+    "a8_logistics_monthly_otd": _stored("logistics_monthly_otd"),
+    "a8_perfect_order_by_category": _stored("perfect_order_by_category"),
+    "a8_bridge_perfect_order": a8_bridge_perfect_order,
+    "a8_bridge_with_risk": a8_bridge_with_risk,
     "b1_revenue": _retail_column("revenue"),
     "b2_forecast_error": _retail_column("forecast_error"),
     "b3_forecast_abs_error": _retail_column("forecast_abs_error"),
@@ -641,9 +749,9 @@ QUERIES: dict[str, Query] = {
     "g19_monthly_on_time": _panel(report.monthly_on_time, shipments, FILTERS.logistics),
     "g20_rate_components": _panel(report.rate_components, paired, FILTERS.by_category),
     "g21_headline_rates": g21_headline_rates,
-    "g22_filtered_promo": g22_filtered_promo,
-    "g22_filtered_summary": g22_filtered_summary,
-    "g22_filtered_perfect_order": g22_filtered_perfect_order,
+    "g22_filtered_promo": _stored_picked("retail_promo_lift"),
+    "g22_filtered_summary": _stored_picked("retail_category_summary"),
+    "g22_filtered_perfect_order": _stored_picked("perfect_order_by_category"),
     "w1_avg_daily_sales_7d": _series_column("avg_daily_sales_7d"),
     "w2_lagged_mean": _series_column("naive_ma7_forecast"),
     "w3_share_of_total": _agg(kpis.delay_reason_share, shipments),
@@ -680,6 +788,11 @@ QUERIES: dict[str, Query] = {
     "l6_demand_predictions": l6_demand_predictions,
     "l7_delay_metrics": l7_delay_metrics,
     "l8_delay_risk": l8_delay_risk,
+    "l6_demand_check": l6_demand_check,
+    "l7_delay_metrics_check": l7_delay_metrics_check,
+    "l8_delay_risk_check": l8_delay_risk_check,
+    "l9_demand_importance_check": _importance_check(demand_result),
+    "l9_delay_importance_check": _importance_check(delay_result),
     "l9_demand_importance": lambda spark, sf: demand_result(spark, sf).importance,
     "l9_delay_importance": lambda spark, sf: delay_result(spark, sf).importance,
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from orderflow.models import delay, demand
+
 RETAIL = """retail AS (
   SELECT cast(l.l_shipdate AS date) AS date,
     concat('S00', sn.n_regionkey + 1) AS store_id,
@@ -90,7 +94,8 @@ SHIPMENTS = """shipments AS (
     CASE WHEN shipment_status = 'Delivered' THEN 1 ELSE 0 END AS delivered_flag,
     cast(ts AS date) AS date,
     strftime(ts, '%Y-%m') AS month,
-    cast(hour(ts) AS int) AS hour
+    cast(hour(ts) AS int) AS hour,
+    (shipment_id * 37 % 1000) / 1e3 AS delay_risk_score
   FROM logistics)"""
 
 
@@ -124,6 +129,7 @@ BRIDGE = f"""numbered AS (
 bridge AS (
   SELECT e.*, s.shipment_id, s.asset_id, s.shipment_status, s.traffic_status, s.waiting_time,
     s.logistics_delay, s.logistics_delay_reason, s.on_time_flag AS delivered_on_time,
+    s.delay_risk_score,
     CASE WHEN e.stockout_occurred = 0 AND s.on_time_flag = 1 THEN 1 ELSE 0 END AS perfect_order
   FROM events_ e JOIN numbered s
     ON s.draw = {hashed("e.month", "e.store_id", "e.product_id")}
@@ -131,9 +137,16 @@ bridge AS (
 
 KEY = "store_id, product_id, date, l_orderkey, l_linenumber, l_partkey, l_suppkey"
 HELD_OUT = f"held_out AS (SELECT * FROM cleaned WHERE {hashed(*KEY.split(', '))} % 10000 < 2000)"
-RULE = f"""rule_ AS (
-  SELECT *, CASE WHEN traffic_status = 'Heavy' THEN 1 ELSE 0 END AS prediction
-  FROM shipments WHERE {hashed("logistics_delay", "shipment_id")} % 10000 < 2000)"""
+#: Test shipments: of every label the first fifth in the order of hashed keys.
+TESTED = f"""tested AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY logistics_delay
+        ORDER BY {hashed("logistics_delay", "shipment_id")}, shipment_id) AS number_,
+      count(*) OVER (PARTITION BY logistics_delay) AS labelled FROM shipments)
+  WHERE number_ <= floor(labelled * 0.2 + 0.5))"""
+RULE = f"""{TESTED},
+rule_ AS (
+  SELECT *, CASE WHEN traffic_status = 'Heavy' THEN 1 ELSE 0 END AS prediction FROM tested)"""
 
 IN_CATEGORY = "category IN ('ECONOMY', 'PROMO', 'SMALL')"
 PICKED_RETAIL = f"""region IN ('ASIA', 'EUROPE') AND {IN_CATEGORY}
@@ -290,14 +303,31 @@ _CONFUSION = """count(*) FILTER (WHERE logistics_delay = 1 AND prediction = 1) A
     avg(CASE WHEN logistics_delay = prediction THEN 1 ELSE 0 END) AS acc"""
 _F1 = "round(2e0 * tp / (2 * tp + fp + fn) + 1e-9, 6)"
 
-BRIDGE_COLUMNS = """month, store_id, product_id, category, region,
+STORED_BRIDGE = """month, store_id, product_id, category, region,
   round(units_ordered + 1e-9, 6) AS units_ordered, stockout_occurred, stockout_risk,
   round(forecast_ape + 1e-9, 6) AS forecast_ape, shipment_id, asset_id, shipment_status,
   traffic_status, round(waiting_time + 1e-9, 6) AS waiting_time, logistics_delay,
   logistics_delay_reason, delivered_on_time, perfect_order"""
+BRIDGE_COLUMNS = f"{STORED_BRIDGE}, round(delay_risk_score + 1e-9, 6) AS delay_risk_score"
 
 DETAIL = """shipment_id, ts, asset_id, shipment_status, traffic_status, waiting_time,
-  logistics_delay, logistics_delay_reason"""
+  logistics_delay, logistics_delay_reason, delay_risk_score"""
+
+_STORED_DOUBLES = ", ".join(
+    f"round({c} + 1e-9, 6) AS {c}"
+    for c in (
+        "forecast_error", "forecast_abs_error", "forecast_ape", "price_gap_vs_competitor",
+        "avg_daily_sales_7d", "naive_ma7_forecast", "days_of_supply",
+    )
+)
+
+
+def _feature_names(table: str, categorical: Sequence[str], numeric: Sequence[str]) -> str:
+    """Importance checks: every value of a category and every number is a feature."""
+    parts = [f"SELECT DISTINCT '{c}_' || {c} AS feature FROM {table}" for c in categorical]
+    parts += [f"SELECT '{c}' AS feature" for c in numeric]
+    return f"SELECT feature, 1e0 AS total FROM ({' UNION ALL '.join(parts)})"
+
 
 ORACLE: dict[str, str] = {
     "a1_retail_csv_round_trip": sql(_ON_RETAIL, "SELECT * FROM retail"),
@@ -318,12 +348,46 @@ ORACLE: dict[str, str] = {
 FROM ({ASSETS})""",
     ),
     "a6_report_tables": sql(_ON_BRIDGE, sizes(_REPORT_SIZES)),
+    "a5_sink_small_table": sql(
+        _ON_RETAIL,
+        f"""SELECT category AS "Category", avg_units_no_promo AS "Avg_Units_No_Promo",
+  avg_units_with_promo AS "Avg_Units_With_Promo", promo_lift_pct AS "Promo_Lift_Pct"
+FROM ({PROMO_LIFT})""",
+    ),
     "a7_cached_tables": sql(
-        _ON_SHIPMENTS,
-        f"""SELECT traffic_status AS grp, {mean("on_time_flag", "on_time_rate")}
+        _ON_BOTH,
+        f"""SELECT traffic_status AS grp, {mean("on_time_flag", "on_time_rate")}, 'on time' AS panel
 FROM shipments GROUP BY traffic_status
-UNION ALL SELECT asset_id AS grp, {mean("on_time_flag", "on_time_rate")}
-FROM shipments GROUP BY asset_id""",
+UNION ALL SELECT asset_id AS grp, {mean("on_time_flag", "on_time_rate")}, 'on time' AS panel
+FROM shipments GROUP BY asset_id
+UNION ALL SELECT category AS grp, {mean("stockout_occurred", "on_time_rate")}, 'stockout' AS panel
+FROM rows_ GROUP BY category""",
+    ),
+    "a8_retail_cleaned": sql(
+        _ON_CLEANED,
+        f"""SELECT {KEY}, round(revenue, 4) AS revenue, {_STORED_DOUBLES}, stockout_occurred,
+  stockout_risk, priced_above_competitor, year, month, day_of_week, overstock_flag FROM cleaned""",
+    ),
+    "a8_logistics_cleaned": shipment_column(
+        "logistics_delay_reason, on_time_flag, delivered_flag, date, month, hour"
+    ),
+    "a8_bridge_perfect_order": sql(_ON_BRIDGE, f"SELECT {STORED_BRIDGE} FROM bridge"),
+    "a8_bridge_with_risk": sql(
+        _ON_BRIDGE, "SELECT month, store_id, product_id, shipment_id FROM bridge"
+    ),
+    "l6_demand_check": sql(
+        _ON_HELD_OUT, "SELECT count(*) AS predicted, 0::BIGINT AS outside FROM held_out"
+    ),
+    "l7_delay_metrics_check": "SELECT * FROM (VALUES ('Accuracy', 0e0), ('F1_Score', 0e0)) t(metric, gap)",
+    "l8_delay_risk_check": sql(
+        _ON_LOGISTICS,
+        "SELECT count(DISTINCT shipment_id) AS shipments, 0::BIGINT AS outside FROM logistics",
+    ),
+    "l9_demand_importance_check": sql(
+        _ON_ROWS, _feature_names("rows_", demand.CATEGORICAL, demand.NUMERIC)
+    ),
+    "l9_delay_importance_check": sql(
+        _ON_LOGISTICS, _feature_names("logistics", delay.CATEGORICAL, delay.NUMERIC)
     ),
     "a8_batch_job": sql(_ON_BRIDGE, sizes(_TABLE_SIZES)),
     "b1_revenue": retail_column("revenue"),
@@ -359,7 +423,7 @@ FULL JOIN (SELECT month, count(*) AS shipments FROM shipments GROUP BY month) US
     "b22_projection": sql(_ON_SHIPMENTS, f"SELECT {DETAIL} FROM shipments"),
     "b23_optional_columns": sql(
         _ON_BRIDGE,
-        """SELECT * EXCLUDE (waiting_time, shipment_status, forecast_ape) FROM bridge""",
+        """SELECT * EXCLUDE (waiting_time, shipment_status, forecast_ape, delay_risk_score) FROM bridge""",
     ),
     "b24_rename": shipment_column("on_time_flag AS delivered_on_time"),
     "b25_percent": sql(
@@ -622,3 +686,20 @@ UNION ALL SELECT 'WAPE (%)' AS metric,
   inventory_level AS f6 FROM logistics""",
     ),
 }
+
+#: Stored tables whose contents a query on the inputs also gives.
+ORACLE |= {
+    f"a8_{table}": ORACLE[key]
+    for table, key in {
+        "retail_kpi_daily": "g1_retail_kpi_daily",
+        "retail_kpi_monthly": "g2_retail_kpi_monthly",
+        "retail_monthly_overall": "g3_monthly_overall",
+        "retail_category_summary": "g4_category_summary",
+        "retail_promo_lift": "g5_promo_lift",
+        "logistics_asset_kpi": "g6_asset_kpi",
+        "logistics_traffic_kpi": "g7_traffic_kpi",
+        "logistics_delay_reason_kpi": "g8_delay_reason_kpi",
+        "logistics_monthly_otd": "g9_monthly_otd",
+        "perfect_order_by_category": "g11_perfect_order_by_category",
+    }.items()
+}

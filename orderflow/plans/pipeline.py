@@ -11,9 +11,10 @@ from orderflow.models.forest import ForestSize
 from orderflow.operators import bridge, kpis
 from orderflow.operators.logistics import clean_logistics
 from orderflow.operators.retail import LONG_SERIES_ROWS, SERIES, clean_retail
-from orderflow.session import stage
+from orderflow.session import stage, staging_area
 from orderflow.sources import tables
 from orderflow.sources.csv_source import (
+    parse_columns,
     read_logistics_csv,
     read_retail_csv,
     with_input_position,
@@ -36,28 +37,48 @@ def run_pipeline(
 ) -> None:
     """Write all result tables below ``out_dir``.
 
+    ``tie_breakers`` order the rows of one store, product and day; a column that the
+    inputs do not declare is text unless given as ``name:type``.
+
     CSV text is parsed once, into staged Parquet. Each large table is written as
     soon as it is complete and later steps start from the written files, so they
     read only the columns they need and a lost executor costs one step at most.
-    All KPI tables of one source come from one set of totals.
+    All KPI tables of one source come from one set of totals. Staged tables are
+    deleted at the end.
     """
+    with staging_area(spark):
+        _run(spark, retail_csv, logistics_csv, out_dir, tie_breakers, demand_size, delay_size,
+             long_rows)
+
+
+def _run(
+    spark: SparkSession,
+    retail_csv: str,
+    logistics_csv: str,
+    out_dir: str,
+    tie_columns: Sequence[str],
+    demand_size: ForestSize,
+    delay_size: ForestSize,
+    long_rows: int,
+) -> None:
+    tie_breakers, extra = parse_columns(tie_columns)
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         tables.write_table(df, out_dir, name)
         return tables.read_table(spark, out_dir, name)
 
-    raw_retail = stage(with_input_position(read_retail_csv(spark, retail_csv), ROW_ID), "retail")
-    raw_logistics = stage(
-        with_input_position(read_logistics_csv(spark, logistics_csv), SHIPMENT_ID), "logistics"
-    )
+    scanned = stage(read_retail_csv(spark, retail_csv, extra=extra, located=True), "retail")
+    raw_retail = with_input_position(scanned, ROW_ID)
+    scanned = stage(read_logistics_csv(spark, logistics_csv, located=True), "logistics")
+    raw_logistics = with_input_position(scanned, SHIPMENT_ID)
     retail = publish("retail_cleaned", clean_retail(raw_retail, tie_breakers, long_rows=long_rows))
 
     delay_result = delay.train_delay_model(
-        clean_logistics(raw_logistics), SHIPMENT_ID, size=delay_size, stage_features=False
+        clean_logistics(raw_logistics), SHIPMENT_ID, size=delay_size
     )
     logistics = publish("logistics_cleaned", delay_result.scored)
     demand_result = demand.train_demand_model(
-        retail, [*SERIES, "date", *tie_breakers], size=demand_size, stage_features=False
+        retail, [*SERIES, "date", *tie_breakers], size=demand_size
     )
     pairs = publish("bridge_perfect_order", bridge.build_bridge(retail, logistics, SHIPMENT_ID))
 

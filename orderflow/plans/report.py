@@ -12,18 +12,19 @@ from pyspark.sql import functions as F
 from orderflow.functions.expr import flag, key_hash, percent, total, with_keys
 from orderflow.operators.kpis import delay_reason_share
 from orderflow.operators.bridge import SEED
+from orderflow.sources.schemas import DETAIL_COLUMNS
 
 DETAIL_ROWS = 200
-DETAIL_COLUMNS = (
-    "ts",
-    "asset_id",
-    "shipment_status",
-    "traffic_status",
-    "waiting_time",
-    "logistics_delay",
-    "logistics_delay_reason",
-    "delay_risk_score",
-)
+#: Choices of more values than this are joined instead of listed in the plan.
+LISTED_VALUES = 200
+
+
+def one_of(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Rows whose ``column`` is one of ``values``; a long list is a semi join."""
+    if len(values) <= LISTED_VALUES:
+        return df.where(F.col(column).isin(*values))
+    chosen = df.sparkSession.createDataFrame([(v,) for v in set(values)], f"`{column}` string")
+    return df.join(chosen, column, "left_semi").select(*df.columns)
 
 
 @dataclass(frozen=True)
@@ -43,9 +44,9 @@ class FilterSpec:
     def retail(self, df: DataFrame) -> DataFrame:
         rules: list[Column] = []
         if self.regions is not None:
-            rules.append(F.col("region").isin(*self.regions))
+            df = one_of(df, "region", self.regions)
         if self.categories is not None:
-            rules.append(F.col("category").isin(*self.categories))
+            df = one_of(df, "category", self.categories)
         # The month limits follow from the dates; they prune month partitions.
         if self.start is not None:
             rules.append(F.col("date") >= F.lit(self.start))
@@ -63,12 +64,12 @@ class FilterSpec:
         """The bridge, or a table already aggregated by category."""
         if self.categories is None:
             return df
-        return df.where(F.col("category").isin(*self.categories))
+        return one_of(df, "category", self.categories)
 
     def logistics(self, df: DataFrame) -> DataFrame:
         if self.trucks is None:
             return df
-        return df.where(F.col("asset_id").isin(*self.trucks))
+        return one_of(df, "asset_id", self.trucks)
 
 
 # --- choices ----------------------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +27,29 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     return _temporary_dir(spark.sparkContext.applicationId)
 
 
+#: Staged paths of the open areas, innermost last.
+_areas: list[list[str]] = []
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end; nothing may read them afterwards."""
+    _areas.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _areas.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -38,5 +58,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _areas:
+        _areas[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

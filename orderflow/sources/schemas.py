@@ -42,10 +42,22 @@ LOGISTICS_COLUMNS: dict[str, T.DataType] = {
 
 # Texts that the input files use for a missing value.
 MISSING_TEXTS = (
-    "", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# Columns of the report's shipment list.
+DETAIL_COLUMNS = (
+    "ts",
+    "asset_id",
+    "shipment_status",
+    "traffic_status",
+    "waiting_time",
+    "logistics_delay",
+    "logistics_delay_reason",
+    "delay_risk_score",
+)
+
 # Export headings that title-casing the column name does not give.
 SPECIAL_HEADINGS = {
     "store_id": "Store ID",

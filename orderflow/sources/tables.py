@@ -7,12 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.sources.schemas import heading
+from orderflow.sources.schemas import DETAIL_COLUMNS, heading
 
 #: The two row-level tables are laid out by month, which report filters prune.
 PARTITIONED = {"retail_cleaned": "month", "logistics_cleaned": "month"}
-#: Tables of a few rows, exported as a single CSV file: sort column, largest first.
-SMALL_TABLES = {
+#: Tables exported in the order of a column: sort column, largest first.
+SORTED_TABLES = {
     "retail_monthly_overall": ("month", False),
     "retail_category_summary": ("total_revenue", True),
     "retail_promo_lift": ("category", False),
@@ -26,12 +26,27 @@ SMALL_TABLES = {
     "model_delay_feature_importance": ("importance", True),
     "perfect_order_by_category": ("category", False),
 }
+#: Of these, the ones that grow with trucks or category values: their export has several
+#: sorted files, each with a range of the sort column.
+GROWING_TABLES = (
+    "logistics_asset_kpi",
+    "model_forecast_feature_importance",
+    "model_delay_feature_importance",
+)
+#: Those with a row per month, category or metric are exported as a single CSV file.
+SMALL_TABLES = tuple(t for t in SORTED_TABLES if t not in GROWING_TABLES)
+#: Columns of the two row-level tables that report queries read.
+REPORT_COLUMNS = {
+    "retail_cleaned": ("date", "month", "region", "category", "revenue", "units_sold",
+                       "stockout_occurred"),
+    "logistics_cleaned": ("shipment_id", "month", "on_time_flag", *DETAIL_COLUMNS),
+}
 TABLES = (
     "retail_cleaned",
     "logistics_cleaned",
     "retail_kpi_daily",
     "retail_kpi_monthly",
-    *SMALL_TABLES,
+    *SORTED_TABLES,
     "bridge_perfect_order",
 )
 #: Tables that the report reads; the daily and monthly KPI tables are exports only.
@@ -61,10 +76,13 @@ def write_table(df: DataFrame, out_dir: str, name: str) -> None:
 
 def export_csv(df: DataFrame, out_dir: str, name: str) -> None:
     """Write one table as CSV with its published headings; small ones as one file."""
-    if name in SMALL_TABLES:
-        column, descending = SMALL_TABLES[name]
+    if name in SORTED_TABLES:
+        column, descending = SORTED_TABLES[name]
         order = F.desc_nulls_last(column) if descending else F.asc_nulls_last(column)
-        df = df.repartition(1).sortWithinPartitions(order, df.columns[0])
+        if name in SMALL_TABLES:
+            df = df.repartition(1).sortWithinPartitions(order, df.columns[0])
+        else:
+            df = df.orderBy(order, df.columns[0])
     titled = df.toDF(*[heading(c) for c in df.columns])
     writer = titled.write.mode("overwrite").option("header", True).option("escape", '"')
     writer.csv(f"{out_dir}/csv/{name}")
@@ -79,6 +97,40 @@ def read_report_tables(spark: SparkSession, out_dir: str) -> Mapping[str, DataFr
     return {name: read_table(spark, out_dir, name) for name in REPORT_TABLES}
 
 
-def keep_in_memory(tables: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
-    """Keep the two row-level tables ready between report queries."""
-    return {n: df.cache() if n in PARTITIONED else df for n, df in tables.items()}
+class ReportTables(Mapping):
+    """The report's tables, with what it reads of the row-level ones kept in memory.
+
+    Use it as a context manager, or call :meth:`release`, to free the memory.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._kept = {
+            n: tables[n].select(*[c for c in columns if c in tables[n].columns]).cache()
+            for n, columns in REPORT_COLUMNS.items()
+            if n in tables
+        }
+        self._tables = {**tables, **self._kept}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def release(self) -> None:
+        for df in self._kept.values():
+            df.unpersist()
+
+    def __enter__(self) -> ReportTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+def keep_in_memory(tables: Mapping[str, DataFrame]) -> ReportTables:
+    """Keep the row-level tables ready between report queries, until released."""
+    return ReportTables(tables)

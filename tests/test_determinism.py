@@ -70,3 +70,20 @@ def test_split_is_disjoint_and_near_twenty_percent(spark, sf_dir, with_partition
     assert train.count() + test.count() == log.count()
     assert train.join(test, "shipment_id").count() == 0
     assert 0.17 < test.count() / log.count() < 0.23
+
+
+def test_every_label_has_its_share_of_test_rows(spark):
+    """A rare label, a common one and a missing one: 20 % of each, rounded."""
+    sizes = {0: 500, 1: 7, None: 23}
+    rows = [(i * 10 + n, label) for n, label in enumerate(sizes) for i in range(sizes[label])]
+    df = spark.createDataFrame(rows, "shipment_id bigint, late int")
+    train, test = forest.stratified_split(df, ["shipment_id"], "late")
+    assert train.columns == test.columns == df.columns
+    got = {r["late"]: r["count"] for r in test.groupBy("late").count().collect()}
+    assert got == {0: 100, 1: 1, None: 5}
+    assert train.union(test).exceptAll(df).isEmpty() and train.count() + test.count() == 530
+
+
+def test_features_are_spread_over_tasks(spark, sf_dir):
+    spread = forest.spread(catalog.shipments(spark, sf_dir), ["shipment_id"], "spread")
+    assert spread.rdd.getNumPartitions() > 1

@@ -5,8 +5,9 @@ from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
 from orderflow.models import delay, demand
+from orderflow.plans.catalog import QUERIES
+from orderflow.plans.oracle import ORACLE as SQL
 
-QUERIES, SQL = queries(), oracle_sql()
 #: Queries on trained models, which SQL cannot express.
 MODEL_KEYS = {
     "k6_top_features",
@@ -28,6 +29,7 @@ def con(sf_dir):
 def test_every_query_has_sql_except_models():
     assert set(QUERIES) - set(SQL) == MODEL_KEYS
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(SQL))

@@ -12,9 +12,14 @@ from orderflow.models.forest import ForestSize
 from orderflow.operators.retail import with_series_measures
 from orderflow.plans import catalog, report
 from orderflow.plans.pipeline import run_pipeline
-from orderflow.session import shared_dir, stage
+from orderflow.session import shared_dir, stage, staging_area
 from orderflow.sources import tables
-from orderflow.sources.csv_source import read_logistics_csv, read_retail_csv, with_input_position
+from orderflow.sources.csv_source import (
+    parse_columns,
+    read_logistics_csv,
+    read_retail_csv,
+    with_input_position,
+)
 from orderflow.sources.schemas import MISSING_TEXTS, column_name, heading
 
 RETAIL_ROW = {
@@ -86,13 +91,57 @@ def test_flags_written_as_decimals(spark, tmp_path):
 
 def test_shipment_rows(spark, tmp_path):
     path = write_csv(tmp_path / "l.csv", [SHIPMENT_ROW] * 3)
-    keyed = with_input_position(read_logistics_csv(spark, path), "shipment_id")
+    scanned = stage(read_logistics_csv(spark, path, located=True), "scan")
+    keyed = with_input_position(scanned, "shipment_id")
     rows = keyed.orderBy("shipment_id").collect()
     assert rows[0]["ts"] == dt.datetime(2024, 3, 20, 0, 11, 14)
     assert rows[0]["logistics_delay_reason"] is None
     assert [r["shipment_id"] for r in rows] == [0, 1, 2]
 
 
+def test_positions_do_not_depend_on_the_splits(spark, tmp_path):
+    """Two files, the larger one last, under two split sizes: same keys in file order."""
+    for name, n in (("a", 30), ("b", 900)):
+        write_csv(tmp_path / f"{name}.csv", [
+            {**SHIPMENT_ROW, "Waiting_Time": str(i), "Asset_ID": name} for i in range(n)])
+    expected = [("a", float(i)) for i in range(30)] + [("b", float(i)) for i in range(900)]
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        for size in ("128m", "7k", "20k"):
+            spark.conf.set(setting, size)
+            scanned = stage(read_logistics_csv(spark, f"file:{tmp_path}", located=True), "scan")
+            rows = with_input_position(scanned, "shipment_id").orderBy("shipment_id").collect()
+            assert [(r["asset_id"], r["waiting_time"]) for r in rows] == expected
+            assert [r["shipment_id"] for r in rows] == list(range(930))
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_fractional_flags_are_an_error(spark, tmp_path):
+    path = write_csv(tmp_path / "r.csv", [{**RETAIL_ROW, "Holiday/Promotion": "0.7"}])
+    with pytest.raises(Exception, match="not a whole number"):
+        read_retail_csv(spark, path).collect()
+
+
+def test_a_blank_is_text_not_missing(spark, tmp_path):
+    path = write_csv(tmp_path / "r.csv", [{**RETAIL_ROW, "Category": " "}])
+    assert read_retail_csv(spark, path).first()["category"] == " "
+
+
+def test_typed_tie_breakers():
+    names, types = parse_columns(["row_id", "line:int", "key:bigint"])
+    assert names == ["row_id", "line", "key"] and types.simpleString() == "struct<line:int,key:bigint>"
+
+
+def test_staged_tables_of_an_area_are_deleted(spark):
+    with staging_area(spark):
+        inside = stage(spark.range(5), "numbers")
+        folder = Path(inside.inputFiles()[0].removeprefix("file:")).parent
+        assert folder.exists()
+    assert not folder.exists()
+
+
 def test_malformed_number_is_an_error(spark, tmp_path):
     path = write_csv(tmp_path / "r.csv", [{**RETAIL_ROW, "Price": "12,x"}])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
@@ -129,7 +178,7 @@ def results(spark, sf_dir, tmp_path_factory):
         catalog.export_retail(spark, sf_dir),
         catalog.export_logistics(spark, sf_dir),
         out,
-        tie_breakers=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        tie_breakers=catalog.TYPED_TIE_BREAKERS,
         demand_size=ForestSize(5, 4),
         delay_size=ForestSize(10, 4),
         long_rows=40,
@@ -202,6 +251,7 @@ def test_csv_exports_carry_published_headings(spark, results):
         files = list(Path(results.removeprefix("file:"), "csv", name).glob("part-*.csv"))
         if name in tables.SMALL_TABLES:
             assert len(files) == 1
+        files = [f for f in sorted(files) if f.stat().st_size]
         return files[0].read_text().splitlines()[0]
 
     # Headings of the published result files.
@@ -247,8 +297,13 @@ def test_report_runs_on_the_written_tables(spark, results):
         loaded["model_forecast_comparison"], "WAPE (%)", "random_forest_model"
     )
     assert lookup.first()[0] > 0
-    for df in loaded.values():
-        df.unpersist()
+    assert loaded["retail_cleaned"].storageLevel.useMemory
+    loaded.release()
+    assert not loaded["retail_cleaned"].storageLevel.useMemory
+    with tables.keep_in_memory(tables.read_report_tables(spark, results)) as again:
+        kept = again["logistics_cleaned"]
+        assert report.latest_shipments(kept).count() == 200
+    assert not kept.storageLevel.useMemory
 
 
 def test_date_filter_prunes_months(spark, results):

@@ -102,17 +102,41 @@ def test_order_without_numeric_tie_breaker(spark):
     assert got == brute_force(rows)
 
 
-def test_chunks_are_bounded(spark):
-    """No chunk of the hot series holds more than two times the limit."""
-    df = spark.createDataFrame(make_rows(), SCHEMA)
+@pytest.mark.parametrize("ties", ["clustered", "text", "constant day"])
+def test_cells_are_bounded_for_any_order(spark, ties):
+    """3,000 rows of one day, as two scan splits number them, or with text keys."""
+    if ties == "clustered":
+        keys = [str(i if i < 10 else (1 << 33) + i).zfill(12) for i in range(3000)]
+    else:
+        keys = [str(i) for i in range(3000)]
+    rows = [("s", "p", DAY0 + dt.timedelta(i // 40 if ties == "constant day" else 0), k, float(i))
+            for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "store_id string, product_id string, date date, tie string, units_sold double")
     series, order = ("store_id", "product_id"), ("date", "tie")
-    long = trailing._long_series(df, series, 10)
-    assert {r["store_id"] for r in long.collect()} == {"hot", "sparse"}
-    layout = trailing._chunk_layout(df.join(long, list(series), "left_semi"), series, order, 10)
-    chunked = trailing._with_chunks(df, layout, series, order)
-    sizes = chunked.where("store_id = 'hot'").groupBy("chunk", "cell").count().collect()
-    assert len(sizes) > 15
-    assert max(r["count"] for r in sizes) <= 20
+    sizes = trailing._cells(df, 3000, series, order, 100).groupBy("cell").count().collect()
+    assert sum(r["count"] for r in sizes) == 3000 and max(r["count"] for r in sizes) <= 200
+    out = with_trailing_means(df, series, order, "units_sold", long_rows=100)
+    got = {(r.store_id, r.product_id, r.date, r.tie): (r.avg_daily_sales_7d, r.ma7_previous)
+           for r in out.collect()}
+    assert got == brute_force(rows)
+
+
+def test_cells_are_bounded_for_a_constant_first_tie_breaker(spark):
+    rows = [("s", "p", DAY0, 0, i, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(
+        rows, "store_id string, product_id string, date date, tie int, second int, units_sold double")
+    order = ("date", "tie", "second")
+    sizes = trailing._cells(df, 3000, ("store_id", "product_id"), order, 100).groupBy("cell").count()
+    assert max(r["count"] for r in sizes.collect()) <= 200
+
+
+@pytest.mark.parametrize("long_rows", [3, 1000])
+def test_rows_without_a_series_key_have_no_means(spark, long_rows):
+    rows = [(s, p, DAY0 + dt.timedelta(d), d, float(d + 1), "kept")
+            for s, p in (("a", "p"), (None, "p"), ("a", None)) for d in range(5)]
+    got = result(spark.createDataFrame(rows, SCHEMA), long_rows)
+    keyed = brute_force([r for r in rows if None not in r[:2]])
+    assert got == {**{r[:4]: (None, None) for r in rows}, **keyed}
 
 
 def test_known_small_input_skips_the_search(spark, monkeypatch):
