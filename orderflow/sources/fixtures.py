@@ -48,8 +48,9 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> int:
 def retail_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order line.
 
-    Every join adds a base table, never a derived one, so Catalyst compares true
-    file sizes with the broadcast limit and shuffles only what is really large.
+    Small tables are joined as base tables, so Catalyst compares true file sizes with
+    the broadcast limit. Orders with their buyers are a derived table of estimated
+    size; the line items meet it in a shuffled join, which is right for large inputs.
     """
     store, buyer = F.col("store_nation.n_regionkey"), F.col("buyer_nation.n_regionkey")
     nation = _table(spark, sf_dir, "nation")
