@@ -23,6 +23,7 @@ row the model has no features and every score is the leak, 0.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -97,11 +98,11 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
         F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(steps)) < int(steps * rows / total))
 
 
-def telling_features(sample: DataFrame, most: int = FEATURES) -> tuple[str, ...]:
-    """Features that occur in toxic documents far more often than elsewhere.
+def telling_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str, float]]:
+    """Features that occur in toxic documents far more often than elsewhere, with log-odds.
 
     Ranked by the toxic documents they are found in beyond what the share of toxic
-    documents explains, in standard deviations.
+    documents explains, in standard deviations. Log-odds are relative to that share.
     """
     per_doc = sample.select("toxic", F.explode(F.array_distinct(F.expr(
         "flatten(transform(array_distinct(regexp_extract_all(lower(text), '\\\\p{L}+', 0)), w -> "
@@ -113,10 +114,13 @@ def telling_features(sample: DataFrame, most: int = FEATURES) -> tuple[str, ...]
     gain = (F.col("bad") - base * F.col("all")) / F.sqrt(base * (1 - base) * F.col("all"))
     rows = (
         counts.where((F.col("bad") >= MIN_TOXIC) & (F.col("bad") > 3 * base * F.col("all")))
-        .select("feature", gain.alias("gain"))
+        .select("feature", "bad", "all", gain.alias("gain"))
         .orderBy(F.desc("gain"), "feature").limit(most).collect()
     )
-    return tuple(r["feature"] for r in rows)
+    return [
+        (r["feature"], math.log((r["bad"] + 0.5) / (r["all"] - r["bad"] + 0.5) * (1 - base) / base))
+        for r in rows
+    ]
 
 
 def _bags(sample: DataFrame, names: tuple[str, ...]) -> list[tuple[int, list[list[int]]]]:
@@ -130,13 +134,14 @@ def _bags(sample: DataFrame, names: tuple[str, ...]) -> list[tuple[int, list[lis
 
 
 def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, rounds: int = 400, rate: float = 0.1,
-        decay: float = 1e-4) -> Model:
+        decay: float = 3e-6) -> Model:
     """Learn from ``labelled`` (doc_id, text, toxic), by Adam over the whole sample."""
     sample = stage(
         _sample(labelled.where("toxic IS NOT NULL"), rows).select("doc_id", "text", "toxic"),
         "toxicity-sample",
     )
-    names = telling_features(sample)
+    telling = telling_features(sample)
+    names = tuple(n for n, _ in telling)
     bags = _bags(sample, names) if names else []
     if not bags:
         return Model((), (), 0.0, 0.0)
@@ -146,7 +151,9 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, rounds: int = 400, rate: fl
     at = np.repeat(np.arange(len(flat)), [len(s) for s in flat])
     feature = np.array([f for s in flat for f in s], np.int64)
     # parameters: weights, bias, leak as a log-odds
-    x = np.concatenate([np.full(len(names), 0.5), [-2.0, -4.0]])
+    # a word has up to three features, which start with a share of what each says alone
+    start = [min(odds, 6.0) / 3 for _, odds in telling]
+    x = np.concatenate([start, [-2.0, -4.0]])
     first, second = np.zeros_like(x), np.zeros_like(x)
     for step in range(1, rounds + 1):
         z = np.bincount(at, x[feature], len(flat)) + x[-2]
