@@ -355,3 +355,12 @@ def test_latest_shipments_limit_and_order(spark):
     ).withColumn("shipment_id", F.monotonically_increasing_id())
     got = [r["ts"] for r in report.latest_shipments(log, rows=5).collect()]
     assert got == [base + dt.timedelta(hours=29 - i) for i in range(5)]
+
+
+def test_a_long_list_of_choices_is_a_join(spark):
+    rows = spark.createDataFrame([(f"r{i}", i) for i in range(500)], "region string, date int")
+    picked = report.FilterSpec(regions=[f"r{i}" for i in range(0, 600, 2)] + ["r0"]).retail(rows)
+    assert picked.columns == rows.columns
+    assert sorted(r["date"] for r in picked.collect()) == list(range(0, 500, 2))
+    plan = picked._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
