@@ -14,11 +14,11 @@ and stop once all components are filled.
 
 Components are banded; texts that share a band are candidates, and are verified by
 the overlap of their bags. Equal bags are one node from the start. In a bucket of n
-nodes not all pairs are made: the first node is compared with all others; then only
-nodes that are still in different components are compared, in rounds of more and more
-leading nodes, and only where the triangle inequality (1 - weighted Jaccard is a
-metric), by their distances to the first node, leaves a link possible. The rounds end
-when no such pair is left, so the classes are those of all candidate pairs.
+nodes not all pairs are made: the first node is compared with all others. A bucket
+whose nodes are then in different components is finished in blocks: its nodes outside
+its largest component, the strays, are compared with all its nodes, inside tasks that
+hold a bounded block of either, and only one link to each other component leaves a
+task. So the classes are those of all candidate pairs, without a row for each.
 
 Defined cases: texts of fewer than five words are one shingle; all texts without any
 word, null ones too, are one class; rows without doc_id take the class of their
@@ -46,8 +46,8 @@ SIMILARITY = 0.8
 #: 20 bands of 5: a pair at 0.8 is missed with a probability of 0.0004.
 BANDS, ROWS = 20, 5
 SIZE = BANDS * ROWS
-#: Each round compares so many times as many leading nodes of a bucket.
-GROWTH = 8
+#: Strays and nodes of a bucket that one task compares, about.
+STRAY_BLOCK, NODE_BLOCK = 256, 1024
 #: Shingles whose points are drawn at once.
 BATCH = 400_000
 WORD = re.compile(r"\w+")
@@ -61,7 +61,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=300_000)
+@lru_cache(maxsize=150_000)
 def _word_hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
@@ -238,42 +238,71 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "bag-star")
     links = components(begun.where(F.col("similarity") >= similarity).select("a", "b"))
 
-    # what is left: buckets whose nodes are in different components
-    far = 1 - similarity
-    known = begun.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "similarity")
-    placed = stage(
-        members.join(first, "bucket").join(
-            known, (F.least("first", "node") == F.col("_a")) & (F.greatest("first", "node") == F.col("_b")),
-            "left")
-        # null: its size ruled out a link with the first node, so the distance is unknown
-        .withColumn("far", F.when(F.col("node") == F.col("first"), F.lit(0.0)).otherwise(
-            1 - F.col("similarity")))
-        .select("bucket", "node", "size", "rank", "far"),
-        "bag-placed")
-    low = 1
-    while True:
-        roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
-        now = placed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = now.groupBy("bucket").agg(F.max("rank").alias("top"), F.min("root").alias("r0"),
-                                          F.max("root").alias("r1"))
-        mixed = mixed.where((F.col("r0") != F.col("r1")) & (F.col("top") > low)).select("bucket")
-        open_ = stage(now.join(mixed, "bucket"), "bag-open")
-        if open_.isEmpty():
-            return _classes_of(rows, nodes, links)
-        lead = open_.where((F.col("rank") >= low) & (F.col("rank") < low * GROWTH)).select(
-            "bucket", *(F.col(c).alias(f"lead_{c}") for c in ("node", "size", "rank", "far", "root")))
-        pairs = (
-            open_.where(F.col("rank") > low).join(lead, "bucket")
-            .where((F.col("rank") > F.col("lead_rank")) & (F.col("root") != F.col("lead_root"))
-                   & _sizes_fit("size", "lead_size", similarity)
-                   & F.coalesce(F.abs(F.col("far") - F.col("lead_far")) <= far + 1e-9, F.lit(True))
-                   )
-            .select(F.least("lead_node", "node").alias("a"), F.greatest("lead_node", "node").alias("b"))
-            .distinct()
-        )
-        found = verified(pairs, own).where(F.col("similarity") >= similarity).select("a", "b")
-        links = components(links.select("a", "b").unionByName(found))
-        low *= GROWTH
+    links = components(links.select("a", "b").unionByName(
+        stray_links(members, links, own, similarity)))
+    return _classes_of(rows, nodes, links)
+
+
+def link_blocks(strays: pd.DataFrame, nodes: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """One link of each stray to each other root, among two blocks of a bucket."""
+    sizes = nodes["own"].map(len).to_numpy()
+    flat = np.concatenate(nodes["own"].to_list())
+    owner = np.repeat(np.arange(len(nodes)), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    roots, names, out = nodes["root"].to_numpy(), nodes["node"].to_numpy(), []
+    for node, root, bag in zip(strays["node"], strays["root"], strays["own"]):
+        low, high = np.searchsorted(flat, bag, "left"), np.searchsorted(flat, bag, "right")
+        many = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+        both = np.bincount(owner[at], minlength=len(nodes))
+        near = (roots != root) & (both >= similarity * (sizes + len(bag) - both) - 1e-9)
+        _, one = np.unique(roots[near], return_index=True)
+        out.extend((min(node, x), max(node, x)) for x in names[near][one])
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def stray_links(members: DataFrame, links: DataFrame, own: DataFrame, similarity: float) -> DataFrame:
+    """Links between nodes of a bucket that are in different components so far."""
+    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    now = stage(members.select("bucket", "node").join(roots, "node", "left")
+                .withColumn("root", F.coalesce("root", "node")), "bag-roots")
+    parts = now.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    open_ = (
+        parts.groupBy("bucket")
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"),
+             F.max(F.struct("n", "root")).alias("largest"))
+        .where("roots > 1")
+        .select("bucket", F.col("largest.root").alias("main"),
+                F.ceil((F.col("n") - F.col("largest.n")) / STRAY_BLOCK).cast("int").alias("stray_blocks"),
+                F.ceil(F.col("n") / NODE_BLOCK).cast("int").alias("node_blocks"))
+    )
+    placed = stage(now.join(open_, "bucket"), "bag-open")
+    if placed.isEmpty():
+        return links.select("a", "b").limit(0)
+
+    def block(blocks: str):
+        return F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+
+    def every(blocks: str):
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    key = ["bucket", "s", "m"]
+    # aliases keep the columns of the two sides apart
+    columns = [F.col(c).alias(c) for c in (*key, "node", "root", "own")]
+    strays = placed.where("root <> main").withColumn("s", block("stray_blocks")).withColumn(
+        "m", every("node_blocks")).join(own, "node").select(*columns)
+    nodes = placed.withColumn("m", block("node_blocks")).withColumn(
+        "s", every("stray_blocks")).join(own, "node").select(*columns)
+    kind = members.schema["node"].dataType.simpleString()
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []})
+        return link_blocks(left, right, similarity)
+
+    found = strays.groupBy(*key).cogroup(nodes.groupBy(*key)).applyInPandas(compare, f"a {kind}, b {kind}")
+    return found.distinct()
 
 
 def _classes_of(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
