@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import attach, number_within
+from orderflow.llm.common import attach, in_small_batches, kept, number_within
 from orderflow.llm.components import components
 from orderflow.session import stage
 
@@ -50,6 +49,7 @@ SIZE = BANDS * ROWS
 STRAY_BLOCK, NODE_BLOCK = 256, 1024
 #: Shingles whose points are drawn at once.
 BATCH = 400_000
+KNOWN_WORDS = 150_000
 WORD = re.compile(r"\w+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,9 +61,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=150_000)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+class _Hashes(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        got = self[word] = xxhash.xxh3_64_intdigest(word)
+        return got
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -71,7 +76,8 @@ def shingles(text: str | None) -> np.ndarray:
     words = WORD.findall(text.lower()) if text else []
     if not words:
         return np.zeros(0, np.uint64)
-    own = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    known = kept("bags", _Hashes)
+    own = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     total = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
@@ -163,14 +169,13 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """doc_id, digest, size, bands of every row."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for a in range(0, len(frame), 2_000):
-                part = frame.iloc[a : a + 2_000]
-                digest, size, bands = sign_texts(part["text"].tolist())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "digest": digest,
-                                    "size": size, "bands": bands})
+            digest, size, bands = sign_texts(frame["text"].tolist())
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "digest": digest,
+                                "size": size, "bands": bands})
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return in_small_batches(own).mapInPandas(
         run, f"doc_id {kind}, digest binary, size long, bands array<long>")
 
 
@@ -178,13 +183,11 @@ def bags(docs: DataFrame) -> DataFrame:
     """node, own: the bag of each text as a set of 64-bit elements."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for a in range(0, len(frame), 1_000):
-                part = frame.iloc[a : a + 1_000]
-                yield pd.DataFrame({"node": part["node"].to_numpy(), "own": [
-                    elements(t).view(np.int64) for t in part["text"]]})
+            yield pd.DataFrame({"node": frame["node"].to_numpy(), "own": [
+                elements(t).view(np.int64) for t in frame["text"]]})
 
     kind = docs.schema["node"].dataType.simpleString()
-    return docs.select("node", "text").mapInPandas(run, f"node {kind}, own array<long>")
+    return in_small_batches(docs).select("node", "text").mapInPandas(run, f"node {kind}, own array<long>")
 
 
 def _members(nodes: DataFrame) -> DataFrame:

@@ -25,17 +25,18 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from orderflow.llm.common import in_small_batches, kept
+
 #: Characters that are encoded at once.
 SLICE = 1_000_000
 #: Words whose ids a worker keeps; then it starts anew.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 300_000
 #: A longer text is encoded in parts of about this many characters.
 PART = 250_000
 BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -114,21 +115,25 @@ class _Known(dict):
         return got
 
 
-@lru_cache(maxsize=2)
-def _loaded(made: str):
-    """Tokenizer, the bytes of every id by reversing the alphabet, known words, words, odd ones."""
+def _coder(made: str):
+    """Tokenizer, known words, the expression of words, odd characters."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import regex
     from tokenizers import Tokenizer
 
-    made = json.loads(made)
-    tokenizer = Tokenizer.from_str(made["tokenizer"])
+    parts = json.loads(made)
+    tokenizer = Tokenizer.from_str(parts["tokenizer"])
+    return tokenizer, _Known(tokenizer.model), regex.compile(parts["pattern"]), set(parts["odd"])
+
+
+def _table(made: str) -> list[bytes]:
+    """The bytes of every id, by reversing the byte alphabet."""
     back = {c: b for b, c in enumerate(byte_alphabet())}
-    vocab = tokenizer.get_vocab()
+    vocab = json.loads(json.loads(made)["tokenizer"])["model"]["vocab"]
     table = [b""] * (max(vocab.values()) + 1)
     for token, i in vocab.items():
         table[i] = bytes(back[c] for c in token)
-    return tokenizer, table, _Known(tokenizer.model), regex.compile(made["pattern"]), set(made["odd"])
+    return table
 
 
 def parts_of(text: str, most: int = PART) -> Iterator[str]:
@@ -152,7 +157,7 @@ def _slices(texts: list[str], size: int = SLICE) -> Iterator[tuple[int, int]]:
 
 def encode_texts(texts: list[str], made: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
-    tokenizer, _, known, word, odd = _loaded(made)
+    tokenizer, known, word, odd = kept(("encode", made), lambda: _coder(made))
 
     def ids(part: str) -> bytes:
         if not (part.isascii() or odd.isdisjoint(part)):
@@ -163,13 +168,13 @@ def encode_texts(texts: list[str], made: str) -> list[bytes]:
 
 
 def decode_ids(ids: bytes, made: str) -> bytes:
-    table = _loaded(made)[1]
+    table = kept(("decode", made), lambda: _table(made))
     return b"".join(map(table.__getitem__, array("I", ids)))
 
 
 def char_spans(ids: bytes, made: str) -> list[tuple[int, int]]:
     """First character and end of every token; a split character is in each part's span."""
-    table = _loaded(made)[1]
+    table = kept(("decode", made), lambda: _table(made))
     pieces = [table[i] for i in array("I", ids)]
     data = np.frombuffer(b"".join(pieces), np.uint8)
     # characters that have begun up to each byte
@@ -182,8 +187,8 @@ def char_spans(ids: bytes, made: str) -> list[tuple[int, int]]:
 
 
 def _with(df: DataFrame, fields: list[StructField]) -> tuple[list[str], StructType]:
-    kept = [c for c in df.columns if c not in {f.name for f in fields}]
-    return kept, StructType([*(df.schema[c] for c in kept), *fields])
+    others = [c for c in df.columns if c not in {f.name for f in fields}]
+    return others, StructType([*(df.schema[c] for c in others), *fields])
 
 
 def _shared(df: DataFrame, made: str):
@@ -192,7 +197,7 @@ def _shared(df: DataFrame, made: str):
 
 def encode(df: DataFrame, made: str, text: str = "text") -> DataFrame:
     """``df`` with n_tokens and ids (packed little-endian unsigned 32-bit integers)."""
-    kept, schema = _with(df, [StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+    others, schema = _with(df, [StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
     shared = _shared(df, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,17 +207,17 @@ def encode(df: DataFrame, made: str, text: str = "text") -> DataFrame:
                 ids = encode_texts(texts[a:b], shared.value)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in kept),
+                    [*(part.column(c) for c in others),
                      pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [*kept, "n_tokens", "ids"],
+                    [*others, "n_tokens", "ids"],
                 )
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, made: str, ids: str = "ids") -> DataFrame:
     """``df`` with decoded: the bytes of the ids."""
-    kept, schema = _with(df, [StructField("decoded", BinaryType())])
+    others, schema = _with(df, [StructField("decoded", BinaryType())])
     shared = _shared(df, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +226,7 @@ def decode(df: DataFrame, made: str, ids: str = "ids") -> DataFrame:
                 part = batch.slice(a, 256)
                 got = [decode_ids(x, shared.value) if x else b"" for x in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in kept), pa.array(got, pa.binary())], [*kept, "decoded"]
+                    [*(part.column(c) for c in others), pa.array(got, pa.binary())], [*others, "decoded"]
                 )
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)

@@ -14,6 +14,25 @@ BROADCAST_ROWS = 100_000
 NUMBER_BUCKETS = 512
 
 
+#: Rows of text that a Python worker receives at once.
+TEXT_ROWS = 1_000
+_kept: dict = {}
+
+
+def kept(owner, make):
+    """State of one operator in a Python worker; that of another operator is given up first."""
+    if owner not in _kept:
+        _kept.clear()
+        _kept[owner] = make()
+    return _kept[owner]
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that sends ``TEXT_ROWS`` rows to Python at once: texts are long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
+    return df
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

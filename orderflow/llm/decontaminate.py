@@ -35,6 +35,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import in_small_batches
+
 SIMILARITY = 0.8
 STEPS, WALKS, SAMPLES, BITS = 56, 2, 2, 16
 #: Shorter items are sampled from fewer steps.
@@ -299,7 +301,7 @@ def _mark_block(docs: DataFrame, items: list[tuple[int, str]], text: str, simila
                     [*(n for n in rest.schema.names if n != "leaks"), "leaks"])
                 a = b
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def is_clean() -> Column:

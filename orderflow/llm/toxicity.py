@@ -27,13 +27,13 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import in_small_batches, kept
 from orderflow.session import stage
 
 #: Labelled rows that train, about; the bound of the training sample.
@@ -42,7 +42,7 @@ TRAIN_ROWS = 10_000
 FEATURES = 2_000
 #: Toxic training documents a feature needs.
 MIN_TOXIC = 4
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -74,9 +74,8 @@ class _Known(dict):
         return found
 
 
-@lru_cache(maxsize=2)
 def _known(names: tuple[str, ...]) -> _Known:
-    return _Known(names)
+    return kept(("toxicity", names), lambda: _Known(names))
 
 
 def sentences_of(text: str | None, known: _Known) -> Iterator[tuple[int, int, list[int]]]:
@@ -129,7 +128,7 @@ def _bags(sample: DataFrame, names: tuple[str, ...]) -> list[tuple[int, list[lis
             own = [[f for *_, f in sentences_of(t, _known(names))] for t in frame["text"]]
             yield pd.DataFrame({"toxic": frame["toxic"], "bag": own})
 
-    found = sample.select("toxic", "text").mapInPandas(run, "toxic int, bag array<array<int>>")
+    found = in_small_batches(sample).select("toxic", "text").mapInPandas(run, "toxic int, bag array<array<int>>")
     return [(r["toxic"], r["bag"]) for r in found.collect()]
 
 
@@ -193,8 +192,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             located.append(bad)
         return pd.DataFrame({"score": scores, "offending": located})
 
-    kept = [c for c in docs.columns if c not in ("score", "offending")]
-    return docs.select(*kept, judged(text).alias("_judged")).select(*kept, "_judged.*")
+    others = [c for c in docs.columns if c not in ("score", "offending")]
+    scored = in_small_batches(docs).select(*others, judged(text).alias("_judged"))
+    return scored.select(*others, "_judged.*")
 
 
 def held_out(doc_id: str = "doc_id"):
