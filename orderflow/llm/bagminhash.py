@@ -48,8 +48,8 @@ SIZE = BANDS * ROWS
 #: Strays and nodes of a bucket that one task compares, about.
 STRAY_BLOCK, NODE_BLOCK = 256, 1024
 #: Shingles whose points are drawn at once.
-BATCH = 400_000
-KNOWN_WORDS = 150_000
+BATCH = 100_000
+KNOWN_WORDS = 100_000
 WORD = re.compile(r"\w+")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 

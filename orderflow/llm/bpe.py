@@ -36,7 +36,7 @@ from orderflow.llm.common import in_small_batches, kept
 #: Characters that are encoded at once.
 SLICE = 1_000_000
 #: Words whose ids a worker keeps; then it starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 #: A longer text is encoded in parts of about this many characters.
 PART = 250_000
 BREAK = re.compile(r"(?<=\S) (?=\S)")
@@ -136,6 +136,11 @@ def _table(made: str) -> list[bytes]:
     return table
 
 
+def _loaded(made: str):
+    """What :func:`_coder` gives, and the table of bytes."""
+    return kept(("bpe", made), lambda: (*_coder(made), _table(made)))
+
+
 def parts_of(text: str, most: int = PART) -> Iterator[str]:
     at = 0
     while len(text) - at > most and (cut := BREAK.search(text, at + most)):
@@ -157,7 +162,7 @@ def _slices(texts: list[str], size: int = SLICE) -> Iterator[tuple[int, int]]:
 
 def encode_texts(texts: list[str], made: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
-    tokenizer, known, word, odd = kept(("encode", made), lambda: _coder(made))
+    tokenizer, known, word, odd, _ = _loaded(made)
 
     def ids(part: str) -> bytes:
         if not (part.isascii() or odd.isdisjoint(part)):
@@ -168,13 +173,13 @@ def encode_texts(texts: list[str], made: str) -> list[bytes]:
 
 
 def decode_ids(ids: bytes, made: str) -> bytes:
-    table = kept(("decode", made), lambda: _table(made))
+    table = _loaded(made)[-1]
     return b"".join(map(table.__getitem__, array("I", ids)))
 
 
 def char_spans(ids: bytes, made: str) -> list[tuple[int, int]]:
     """First character and end of every token; a split character is in each part's span."""
-    table = kept(("decode", made), lambda: _table(made))
+    table = _loaded(made)[-1]
     pieces = [table[i] for i in array("I", ids)]
     data = np.frombuffer(b"".join(pieces), np.uint8)
     # characters that have begun up to each byte
@@ -195,9 +200,13 @@ def _shared(df: DataFrame, made: str):
     return df.sparkSession.sparkContext.broadcast(made)
 
 
-def encode(df: DataFrame, made: str, text: str = "text") -> DataFrame:
-    """``df`` with n_tokens and ids (packed little-endian unsigned 32-bit integers)."""
-    others, schema = _with(df, [StructField("n_tokens", LongType()), StructField("ids", BinaryType())])
+def encode(df: DataFrame, made: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``df`` with n_tokens and ids (packed little-endian unsigned 32-bit integers).
+
+    ``decoded`` also decodes the ids in the same task, as :func:`decode` does apart.
+    """
+    fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
+    others, schema = _with(df, fields + [StructField("decoded", BinaryType())] * decoded)
     shared = _shared(df, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +215,13 @@ def encode(df: DataFrame, made: str, text: str = "text") -> DataFrame:
             for a, b in _slices(texts):
                 ids = encode_texts(texts[a:b], shared.value)
                 part = batch.slice(a, b - a)
+                made_columns = [pa.array([len(x) // 4 for x in ids], pa.int64()),
+                                pa.array(ids, pa.binary())]
+                if decoded:
+                    back = [decode_ids(x, shared.value) for x in ids]
+                    made_columns.append(pa.array(back, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in others),
-                     pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [*others, "n_tokens", "ids"],
-                )
+                    [*(part.column(c) for c in others), *made_columns], schema.names)
 
     return in_small_batches(df).mapInArrow(run, schema)
 

@@ -44,7 +44,7 @@ LEAST, SHORT_STEPS, SHORT_BITS = 8, 14, 6
 SHORT = 32
 BLOCK = 10_000
 #: Bytes of text that are walked at once.
-SLICE = 4_000_000
+SLICE = 1_000_000
 FILTER_BITS = 20
 LEAK = "array<struct<item_id:long,start:long,stop:long,distance:int>>"
 BLANK = 32

@@ -42,7 +42,7 @@ TRAIN_ROWS = 10_000
 FEATURES = 2_000
 #: Toxic training documents a feature needs.
 MIN_TOXIC = 4
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 100_000
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
 
