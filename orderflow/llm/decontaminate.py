@@ -11,8 +11,18 @@ each are the repetitions, and a pair of windows is a candidate if one key agrees
 The samples lie in the first ``STEPS`` steps, so only these are walked, and they are
 the same for windows of any item's size. Items enter the table with the windows at
 all their words, and documents are asked at all of theirs, so each word of an item
-adds repetitions: nearly every copy with one edit in ten bytes is met, and 19 of 20
-with one in seven. A candidate must have the trigrams that so few edits leave at least (each
+adds repetitions.
+
+Walks start at words and need some 28 bytes without many edits, so a second source of
+candidates covers what they miss: the q-grams that an item and a text share, at every
+byte of both, so that unspaced scripts are searched like others. Those of a true pair
+lie near one diagonal (place in the text less place in the item). A pair is a candidate
+if two neighbouring bands of diagonals hold as many shared q-grams as ``SEEDS`` asks of
+the item's size. Below 56 bytes these are the trigrams that (1 - similarity) edits leave
+at least, so none is missed; above, the counts are set for 99 of 100 pairs with as many
+random edits as verification allows.
+
+A candidate must have the trigrams that so few edits leave at least (each
 edit breaks three), which passes all true ones. Then the item's edit distance to the
 best place around is computed exactly (bit-parallel); up to (1 - similarity) of the item's size is a leak.
 
@@ -42,6 +52,11 @@ STEPS, WALKS, SAMPLES, BITS = 56, 2, 2, 16
 #: Shorter items are sampled from fewer steps.
 LEAST, SHORT_STEPS, SHORT_BITS = 8, 14, 6
 SHORT = 32
+#: Items from so many bytes on: q, shared q-grams at that size, and more for each byte beyond it.
+SEEDS = ((8, 3, None, None), (56, 5, 9, 0.4), (88, 6, 12, 0.22), (145, 8, 9, 0.15))
+#: Up to this size the band of diagonals holds all of a pair's, as many as its edits can shift.
+SURE = 56
+KEY_BITS = 20
 BLOCK = 10_000
 #: Bytes of text that are walked at once.
 SLICE = 1_000_000
@@ -134,6 +149,95 @@ def _table(items: list[tuple[int, np.ndarray]], steps: int, bits: int) -> Table
     return Table(steps, bits, tuple(keys), tuple(item), tuple(place), tuple(met))
 
 
+@dataclass(frozen=True)
+class Seeds:
+    """Places of the q-grams of the items of one size class, by key."""
+
+    q: int
+    met: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+    number: np.ndarray
+    least: np.ndarray
+    shift: np.ndarray
+    size: np.ndarray
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on as a number; zeros follow the end."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    out = np.empty(n, np.uint64)
+    for r in range(min(8, n)):
+        many = (n - r + 7) // 8
+        out[r::8] = padded[r : r + 8 * many].view("<u8")
+    return out
+
+
+def seed_keys(wide: np.ndarray, q: int) -> np.ndarray:
+    own = wide[: max(0, len(wide) - q + 1)] << np.uint64(64 - 8 * q)
+    return (own * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - KEY_BITS)).astype(np.int32)
+
+
+def _seeds(items: list[tuple[int, np.ndarray]], similarity: float) -> list[Seeds]:
+    out = []
+    for k, (low, q, base, more) in enumerate(SEEDS):
+        high = SEEDS[k + 1][0] if k + 1 < len(SEEDS) else None
+        own = [(i, b) for i, b in items if low <= len(b) and (high is None or len(b) < high)]
+        if not own:
+            continue
+        least, shift = [], []
+        for _, body in own:
+            edits = int((1 - similarity) * len(body) + 1e-9)
+            sure = len(body) - q + 1 - q * edits
+            least.append(max(1, sure, 0 if base is None else int(base + more * (len(body) - low))))
+            shift.append(max(2, (2 * edits - 1).bit_length()) if len(body) < SURE else 4 + (low >= 145))
+        keys = [seed_keys(eight_bytes(b), q) for _, b in own]
+        key = np.concatenate(keys)
+        order = np.argsort(key, kind="stable")
+        counts = np.bincount(key, minlength=1 << KEY_BITS)
+        out.append(Seeds(
+            q, counts > 0, np.concatenate([[0], np.cumsum(counts)]).astype(np.int32),
+            np.repeat(np.arange(len(own)), [len(x) for x in keys])[order],
+            np.concatenate([np.arange(len(x)) for x in keys])[order],
+            np.array([i for i, _ in own]), np.array(least), np.array(shift),
+            np.array([len(b) for _, b in own])))
+    return out
+
+
+def banded(wide: np.ndarray, seeds: Seeds) -> np.ndarray:
+    """Rows (item, middle, half width) of the pairs of bands with enough shared q-grams."""
+    key = seed_keys(wide, seeds.q)
+    at = np.flatnonzero(seeds.met[key])
+    if not len(at):
+        return np.zeros((0, 3), np.int64)
+    low = seeds.first[key[at]]
+    many = seeds.first[key[at] + 1] - low
+    flat = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    item = seeds.item[flat]
+    longest = int(seeds.size.max())
+    diagonal = np.repeat(at, many) - seeds.offset[flat] + longest
+    # a free band after the last of each item keeps neighbours apart
+    bands = ((len(wide) + longest) >> int(seeds.shift.min())) + 2
+    cell = item * bands + (diagonal >> seeds.shift[item])
+    total = len(seeds.number) * bands
+    if total <= min(8 * len(cell), 1 << 24):
+        counts = np.bincount(cell, minlength=total + 1)
+        cell = np.flatnonzero(counts)
+        both = counts[cell] + counts[cell + 1]
+    else:
+        cell.sort()
+        edge = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        both = np.diff(np.concatenate([edge, [len(cell)]]))
+        cell = cell[edge]
+        both[:-1] += np.where(cell[1:] == cell[:-1] + 1, both[1:], 0)
+    good = both >= seeds.least[cell // bands]
+    item, band = np.divmod(cell[good], bands)
+    width = 1 << seeds.shift[item]
+    return np.stack([seeds.number[item], (band + 1) * width - longest, width], 1)
+
+
 def edit_ends(pattern: bytes, text: bytes) -> tuple[int, int]:
     """Least edit distance of ``pattern`` to any part of ``text``, and the end of that part."""
     places: dict[int, int] = {}
@@ -191,10 +295,23 @@ class Searcher:
             _table([x for x in bodies if len(x[1]) >= SHORT], STEPS, BITS),
             _table([x for x in bodies if len(x[1]) < SHORT], SHORT_STEPS, SHORT_BITS),
         ) if t]
+        self.seeds = _seeds(bodies, similarity)
+        self.longest = max((len(b) for _, b in bodies), default=0)
+
+    def seeded(self, data: np.ndarray) -> np.ndarray:
+        """Rows (item, middle of the expected starts, half width) by shared q-grams."""
+        found = [np.zeros((0, 3), np.int64)]
+        # a pair lies whole in one of the overlapping pieces
+        for a in range(0, len(data), SLICE):
+            wide = eight_bytes(data[a : a + SLICE + 3 * self.longest])
+            found += [banded(wide, s) + np.array([0, a, 0]) for s in self.seeds]
+        return np.unique(np.concatenate(found), axis=0)
 
     def candidates(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """Rows (item, expected start) of windows that share a key with an item's window."""
-        starts, found = np.union1d(_word_starts(data), begins[begins < len(data)]), []
+        first = np.concatenate([[False], data[:-1] == BLANK])
+        first[begins[begins < len(data)]] = True
+        starts, found = np.flatnonzero(first), []
         padded = np.concatenate([data, np.zeros(STEPS + 1, np.uint8)])
         for table in self.tables:
             for r, key in enumerate(walk_keys(padded, starts, table.steps, table.bits)):
@@ -223,34 +340,47 @@ class Searcher:
             return out
         own, place = normalised(data)
         edges = np.searchsorted(place, bounds)
-        rows = self.candidates(own, edges[:-1])
+        walked = self.candidates(own, edges[:-1])
+        rows = np.concatenate([np.insert(walked, 2, 0, axis=1), self.seeded(own)])
         if not len(rows):
             return out
-        # the document of a candidate is that of the item's middle
+        # the document of a candidate is that of the item's middle; near its edge, each it may be
         half = np.array([len(self.items.get(i, b"")) // 2 for i in range(max(self.items) + 1)])
-        middle = np.clip(rows[:, 1] + half[rows[:, 0]], 0, len(own) - 1)
-        doc = np.searchsorted(edges, middle, "right") - 1
-        rows = np.unique(np.stack([doc, rows[:, 0], rows[:, 1]], 1), axis=0)
+        middle = rows[:, 1] + half[rows[:, 0]]
+        placed = [np.searchsorted(edges, np.clip(middle + side * rows[:, 2], 0, len(own) - 1), "right") - 1
+                  for side in (-1, 0, 1)]
+        rows = np.unique(np.concatenate([np.column_stack([doc, rows]) for doc in placed]), axis=0)
         tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for d, i, start in rows.tolist():
+        places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for d, i, start, width in rows.tolist():
             body = self.items[i]
             most = int((1 - self.similarity) * len(body) + 1e-9)
-            low, high = max(edges[d], start - most), min(edges[d + 1], start + len(body) + most)
-            spans = tried.setdefault((d, i), [])
-            if any(a <= start <= b for a, b in spans):
-                continue
-            region = own[low:high]
-            got = self.may_hold(i, region, most) and best_place(body, region.tobytes(), most)
-            if not got:
-                spans.append((start - most // 4, start + most // 4))
+            low = max(edges[d], start - width - most)
+            high = min(edges[d + 1], start + width + len(body) + most)
+            spans, known = tried.setdefault((d, i), []), places.setdefault((d, i), [])
+            if any(a <= start - width and start + width <= b for a, b in spans):
                 continue
-            distance, a, b = got[0], low + got[1], low + got[2]
-            spans.append((a - most, b - len(body) // 2))
-            first, last = place[a], place[b - 1]
-            before, length = data[bounds[d] : first], data[first : last + 1]
-            chars = int(((before & 0xC0) != 0x80).sum())
-            out[d].append({"item_id": self.ids[i], "start": chars,
-                           "stop": chars + int(((length & 0xC0) != 0x80).sum()), "distance": distance})
+            spans.append((start - width - most // 4, start + width + most // 4))
+            parts = [(low, high)]
+            while parts:
+                low, high = parts.pop()
+                if high - low < len(body) - most:
+                    continue
+                region = own[low:high]
+                got = self.may_hold(i, region, most) and best_place(body, region.tobytes(), most)
+                if not got:
+                    continue
+                distance, a, b = got[0], low + got[1], low + got[2]
+                parts += [(low, a), (b, high)]
+                if any(min(b, y) - max(a, x) > len(body) // 2 for x, y in known):
+                    continue
+                known.append((a, b))
+                spans.append((a - most, b - len(body) // 2))
+                first, last = place[a], place[b - 1]
+                before, length = data[bounds[d] : first], data[first : last + 1]
+                chars = int(((before & 0xC0) != 0x80).sum())
+                out[d].append({"item_id": self.ids[i], "start": chars,
+                               "stop": chars + int(((length & 0xC0) != 0x80).sum()), "distance": distance})
         return out
 
 

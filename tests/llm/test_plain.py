@@ -81,6 +81,46 @@ def test_search_finds_edited_copies_and_their_spans():
     assert searcher.search(data, np.array([0, len(data)])) == [[]]
 
 
+def _edited(body, rng, edits, kinds, letters):
+    body = list(body)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(body)), rng.choice(kinds)
+        body[at:at + (kind != "insert")] = [] if kind == "delete" else [rng.choice(letters)]
+    return "".join(body)
+
+
+@pytest.mark.parametrize("size", [10, 20, 33, 50, 60, 80, 100, 165, 233, 330])
+@pytest.mark.parametrize("kinds", [["change", "insert", "delete"], ["delete"]])
+def test_search_finds_pairs_at_the_limit(size, kinds):
+    """Against brute force: a place within the allowed edits must be found."""
+    rng, letters = random.Random(size), "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, (say(size) + "xy")[:size - 1].rstrip() + "e") for i in range(40)]
+    searcher = decontaminate.Searcher(items, 0.8)
+    true = found = 0
+    for i, body in items:
+        most = int(0.2 * len(body) + 1e-9)
+        text = f"{say(9)} {_edited(body, rng, most, kinds, letters)} {say(9)}"
+        data = np.frombuffer(text.encode(), np.uint8)
+        # a letter lost between blanks costs two edits
+        if _edit(body.encode(), decontaminate.normalised(data)[0].tobytes()) > most:
+            continue
+        true += 1
+        found += any(h["item_id"] == i for h in searcher.search(data, np.array([0, len(data)]))[0])
+    assert true > 9 and found >= 0.97 * true
+    assert size >= decontaminate.SURE or found == true
+
+
+def test_search_reports_neighbouring_copies_once_each():
+    item = "two short words of one item"
+    text = " ".join([item] * 4)
+    data = np.frombuffer((text + text).encode(), np.uint8)
+    searcher = decontaminate.Searcher([(1, item), (2, "abcdefghij")], 0.8)
+    hits = searcher.search(data, np.array([0, len(text), len(data)]))
+    assert [sorted(h["start"] for h in own) for own in hits] == [[28 * k for k in range(4)]] * 2
+
+
 def _best_fit_one_by_one(sizes, capacity):
     bins = []
     for size in sorted((s for s, n in sizes for _ in range(n)), reverse=True):
