@@ -112,6 +112,22 @@ def test_search_finds_pairs_at_the_limit(size, kinds):
     assert size >= decontaminate.SURE or found == true
 
 
+@pytest.mark.parametrize("size", [12, 30, 80])
+def test_search_in_unspaced_text(size):
+    rng = random.Random(size)
+    say = lambda n: "".join(chr(rng.randrange(0x4E00, 0x5200)) for _ in range(n))
+    items = [(i, say(size)) for i in range(20)]
+    searcher = decontaminate.Searcher(items, 0.8)
+    for edits in (0, size // 18):
+        for i, body in items:
+            body = _edited(body, rng, edits, ["change", "insert", "delete"], say(50))
+            text = say(47) + body + say(33)
+            data = np.frombuffer(text.encode(), np.uint8)
+            (hits,) = searcher.search(data, np.array([0, len(data)]))
+            assert [h["item_id"] for h in hits] == [i]
+            assert abs(hits[0]["start"] - 47) <= 1 + edits
+
+
 def test_search_reports_neighbouring_copies_once_each():
     item = "two short words of one item"
     text = " ".join([item] * 4)
