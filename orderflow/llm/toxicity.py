@@ -17,8 +17,9 @@ their id. Everything else covers all rows. Training data that reach the driver a
 feature numbers of those sentences that have any.
 
 Defined cases: null or empty text has the leak as score; a label that is null does
-not train; repeated rows train and score like others; without any toxic training
-row the model has no features and every score is the leak, 0.
+not train; repeated rows train and score like others; if no feature tells toxic rows
+from others, every score is the leak, the share of toxic training rows: 0 without any,
+1 if all are.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ TRAIN_ROWS = 10_000
 FEATURES = 2_000
 #: Toxic training documents a feature needs.
 MIN_TOXIC = 4
+#: How much higher the odds of being toxic are with a feature, as a factor, and its gain in
+#: standard deviations, at least. Both work for any share of toxic documents.
+ODDS, DEVIATIONS = 3.0, 2.0
 KNOWN_WORDS = 100_000
 WORD = re.compile(r"[^\W\d_]+")
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -97,8 +101,12 @@ def _sample(labelled: DataFrame, rows: int) -> DataFrame:
         F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(steps)) < int(steps * rows / total))
 
 
+def _share(sample: DataFrame) -> float:
+    return sample.agg(F.avg("toxic")).first()[0] or 0.0
+
+
 def telling_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str, float]]:
-    """Features that occur in toxic documents far more often than elsewhere, with log-odds.
+    """Features with which documents are toxic at far higher odds, with log-odds.
 
     Ranked by the toxic documents they are found in beyond what the share of toxic
     documents explains, in standard deviations. Log-odds are relative to that share.
@@ -107,13 +115,14 @@ def telling_features(sample: DataFrame, most: int = FEATURES) -> list[tuple[str,
         "flatten(transform(array_distinct(regexp_extract_all(lower(text), '\\\\p{L}+', 0)), w -> "
         "CASE WHEN length(w) > 3 THEN array(w, concat(left(w, 4), '*'), concat(left(w, 5), '*')) "
         "ELSE array(w) END))"))).alias("feature"))
-    base = sample.agg(F.avg("toxic")).first()[0] or 0.0
+    base = _share(sample)
     counts = per_doc.groupBy("feature").agg(
         F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("all"))
     gain = (F.col("bad") - base * F.col("all")) / F.sqrt(base * (1 - base) * F.col("all"))
     rows = (
-        counts.where((F.col("bad") >= MIN_TOXIC) & (F.col("bad") > 3 * base * F.col("all")))
-        .select("feature", "bad", "all", gain.alias("gain"))
+        counts.where((F.col("bad") >= MIN_TOXIC)
+                     & (F.col("bad") * (1 - base) > ODDS * base * (F.col("all") - F.col("bad"))))
+        .select("feature", "bad", "all", gain.alias("gain")).where(F.col("gain") >= DEVIATIONS)
         .orderBy(F.desc("gain"), "feature").limit(most).collect()
     )
     return [
@@ -139,11 +148,11 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS, rounds: int = 400, rate: fl
         _sample(labelled.where("toxic IS NOT NULL"), rows).select("doc_id", "text", "toxic"),
         "toxicity-sample",
     )
-    telling = telling_features(sample)
+    telling = telling_features(sample) if 0 < _share(sample) < 1 else []
     names = tuple(n for n, _ in telling)
     bags = _bags(sample, names) if names else []
     if not bags:
-        return Model((), (), 0.0, 0.0)
+        return Model((), (), 0.0, _share(sample))
     truth = np.array([t for t, _ in bags], float)
     owner = np.array([i for i, (_, bag) in enumerate(bags) for _ in bag], np.int64)
     flat = [s for _, bag in bags for s in bag]

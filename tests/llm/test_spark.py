@@ -141,6 +141,31 @@ def test_toxicity_finds_held_out_documents_and_sentences(spark):
             assert any(w in r["text"][place["start"]:place["stop"]] for w in ("vile", "rotten"))
 
 
+@pytest.mark.parametrize("share", [0.33, 0.5, 0.9])
+def test_toxicity_at_any_share_of_toxic_labels(spark, share):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    rows = []
+    for i in range(1000):
+        lines = [" ".join(rng.choice(words) for _ in range(8)) for _ in range(rng.randrange(1, 5))]
+        toxic = int(rng.random() < share)
+        if toxic:
+            lines[rng.randrange(len(lines))] += f" {rng.choice(['vileones', 'vilemost', 'rotten'])} it is"
+        rows.append((i, ". ".join(lines), toxic))
+    made = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train_on(made, made)
+    out = toxicity.score(made, model).where(toxicity.held_out()).collect()
+    right = [(r["score"] >= 0.5) == bool(r["toxic"]) for r in out]
+    assert sum(right) >= 0.95 * len(right)
+
+
+def test_toxicity_with_one_kind_of_labels(spark):
+    rows = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    for toxic in (0, 1):
+        model = toxicity.fit(rows.withColumn("toxic", F.lit(toxic)))
+        assert {r["score"] for r in toxicity.score(rows, model).collect()} == {toxic}
+
+
 def test_toxicity_of_odd_rows(spark):
     model = toxicity.Model(("idiot",), (9.0,), -1.0, 0.02)
     docs = odd_docs(spark, [(9, "Fine. You IDIOT!", "en", "a")])
