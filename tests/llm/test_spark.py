@@ -345,6 +345,23 @@ def test_licences_of_odd_rows(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_in_windows(spark):
+    full = dict(license_scan.full_texts())
+    grant = license_scan.TEMPLATES[16][1].replace("any person", "any\nperson").replace("without lim", "without\nlim")
+    cases = [(10 + i, name, f"Copyright 2020 A. Person\n\n{body}\nSome words that follow.")
+             for i, (name, body) in enumerate(full.items())]
+    cases += [(40, "MIT", "First line.\n" + grant + "\nLast line of it, with more words than the notice has " * 9),
+              (41, "MIT", "A tool by someone, released under the MIT license in 2020 and kept by many others."),
+              (42, "GPL-3.0", "See below.\nThis work is licensed under the GNU\nGeneral Public License, version 3. " + "x y z " * 90),
+              (43, None, "Work that is licensed under the Apache License, Version 1.1 and not any other one, as we say."),
+              (44, None, "Nobody has any rights that all of us reserved.")]
+    docs = odd_docs(spark, [(i, body, "en", "a") for i, _, body in cases])
+    got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}
+    assert {i: got[i]["license"] for i, *_ in cases} == {i: name for i, name, _ in cases}
+    assert (got[41]["dice"], got[41]["line_no"], got[42]["line_no"]) == (1.0, 0, 1)
+    assert all(got[i]["license"] is None for i in (1, 2, 3, 5, 6))
+
+
 # 9 chats
 
 
