@@ -76,5 +76,10 @@ def number_within(df: DataFrame, key: str, order: Sequence[str], name: str,
     )
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, to be grouped together with a table that it comes from."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def utf8_size(text: str) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")

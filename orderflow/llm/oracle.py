@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from orderflow.llm import license_scan, line_dedup, merkle
+from orderflow.llm import lexical, license_scan, line_dedup, merkle, metric_join, phrases
 
 
 def _quoted(text: str) -> str:
@@ -133,10 +133,90 @@ SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
 FROM sections
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERMS = (
+    f"unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+)
+
+LEXICAL_SEARCH = f"""
+WITH said AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM said GROUP BY doc_id, term),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS size FROM counted GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, sum(size)::BIGINT AS words FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM counted, totals GROUP BY term, docs),
+wanted AS (SELECT item_id, {_TERMS} AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * size * docs) // words))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN counted USING (term) JOIN sizes USING (doc_id), totals
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {lexical.BEST}
+"""
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+said AS (SELECT lang, k, w[i:i + k - 1] AS p FROM placed, (VALUES (1), (2), (3)) AS sizes(k)
+         WHERE i + k - 1 <= len(w)),
+grams AS (SELECT lang, k, p, count(*) AS f FROM said GROUP BY lang, k, p),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, p, f AS a FROM grams WHERE k > 1 AND f >= {phrases.LEAST}),
+cuts AS (
+  SELECT c.lang, c.p, a, cut, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN grams x ON x.lang = c.lang AND x.p = c.p[:cut]
+  JOIN grams y ON y.lang = c.lang AND y.p = c.p[cut + 1:]),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+around AS (
+  SELECT lang, p, max(a) AS most FROM (
+    SELECT lang, p[1:2] AS p, a FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, p[2:3], a FROM candidates WHERE k = 3) GROUP BY lang, p),
+ranked AS (
+  SELECT c.lang, array_to_string(c.p, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+  FROM lowest c JOIN totals t ON t.lang = c.lang
+  LEFT JOIN around b ON b.lang = c.lang AND b.p = c.p
+  WHERE most IS NULL OR 100 * most < {phrases.COVERED} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank,
+       phrase, a, l, r, n, score
+FROM ranked QUALIFY rank <= {phrases.BEST}
+"""
+
+METRIC_JOIN = f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= {metric_join.COSINE} END),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a),
+reached(vec_id, other) AS (
+  SELECT a, b FROM pairs UNION SELECT r.vec_id, p.b FROM reached r JOIN pairs p ON p.a = r.other),
+least AS (SELECT vec_id, min(other) AS other FROM reached GROUP BY vec_id)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+       vec_id <= coalesce(other, vec_id) AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id) LEFT JOIN least USING (vec_id)
+"""
+
 ORACLE = {
     "op2_line_dedup": LINE_DEDUP,
     "op6_merkle": MERKLE,
     "op7_url_filter": URL_FILTER,
     "op8_license_scan": LICENSE_SCAN,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_lexical_search": LEXICAL_SEARCH,
+    "op12_collocations": COLLOCATIONS,
+    "op13_metric_join": METRIC_JOIN,
 }

@@ -11,9 +11,12 @@ from orderflow.llm import (
     bpe,
     chat,
     decontaminate,
+    lexical,
     license_scan,
     line_dedup,
     merkle,
+    metric_join,
+    phrases,
     sharding,
     toxicity,
     url_rules,
@@ -85,6 +88,20 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op13_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_shards, op2_line_dedup, op3_toxicity, op4_bagminhash, op5_decontamination,
-    op6_merkle, op7_url_filter, op8_license_scan, op9_chat_format, op10_byte_bpe)}
+    op6_merkle, op7_url_filter, op8_license_scan, op9_chat_format, op10_byte_bpe,
+    op11_lexical_search, op12_collocations, op13_metric_join)}
