@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 
 from orderflow.functions.metrics import classification_metrics
 from orderflow.models.forest import (
-    FOREST_SETTINGS,
     SEED,
     ForestSize,
     feature_importance,
@@ -59,12 +58,7 @@ def train_delay_model(
     )
     train, test = stratified_split(features, [key], TARGET, seed)
     forest = RandomForestClassifier(
-        labelCol=TARGET,
-        numTrees=size.trees,
-        maxDepth=size.depth,
-        featureSubsetStrategy="sqrt",
-        seed=seed,
-        **FOREST_SETTINGS,
+        labelCol=TARGET, seed=seed, **size.settings(features_per_split="sqrt")
     )
     model = forest_pipeline(CATEGORICAL, NUMERIC, forest).fit(train)
     predictions = model.transform(test)

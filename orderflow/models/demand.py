@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.metrics import forecast_comparison
 from orderflow.models.forest import (
-    FOREST_SETTINGS,
     SEED,
     ForestSize,
     feature_importance,
@@ -58,6 +57,7 @@ def train_demand_model(
     keys: Sequence[str],
     size: ForestSize = SIZE,
     seed: int = SEED,
+    numeric: Sequence[str] = NUMERIC,
 ) -> DemandResult:
     """Fit on 80 % of the rows and compare with the moving average on the rest.
 
@@ -67,14 +67,9 @@ def train_demand_model(
     features = spread(demand_features(retail, keys), keys, "demand-features")
     train, test = split(features, keys, seed)
     forest = RandomForestRegressor(
-        labelCol=TARGET,
-        numTrees=size.trees,
-        maxDepth=size.depth,
-        featureSubsetStrategy="all",
-        seed=seed,
-        **FOREST_SETTINGS,
+        labelCol=TARGET, seed=seed, **size.settings(features_per_split="all")
     )
-    model = forest_pipeline(CATEGORICAL, NUMERIC, forest).fit(train)
+    model = forest_pipeline(CATEGORICAL, numeric, forest).fit(train)
     predictions = model.transform(test)
     comparison = forecast_comparison(
         predictions,

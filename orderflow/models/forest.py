@@ -29,10 +29,25 @@ FOREST_SETTINGS = {
 }
 
 
+#: Bins that let Spark try every threshold: it squares them in 32 bits to size its sample.
+EVERY_BIN = 46_340
+
+
 @dataclass(frozen=True)
 class ForestSize:
+    """``exhaustive`` trees see all rows and features, and try every threshold of a feature
+    with fewer than ``EVERY_BIN`` values; they are fixed by the data alone."""
+
     trees: int
     depth: int
+    exhaustive: bool = False
+
+    def settings(self, features_per_split: str) -> dict:
+        own = {"numTrees": self.trees, "maxDepth": self.depth}
+        if self.exhaustive:
+            fixed = {"maxBins": EVERY_BIN, "bootstrap": False, "featureSubsetStrategy": "all"}
+            return FOREST_SETTINGS | own | fixed
+        return FOREST_SETTINGS | own | {"featureSubsetStrategy": features_per_split}
 
 
 def one_hot_stages(columns: Sequence[str]) -> list[Estimator]:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from orderflow.functions import metrics
 from orderflow.functions.expr import percent
-from orderflow.models import delay, demand, forest
+from orderflow.models import delay, demand, forest, trees
 from orderflow.operators import bridge, kpis, quality
 from orderflow.operators.logistics import clean_logistics
 from orderflow.operators.retail import (
@@ -60,6 +60,9 @@ FILTERS = FilterSpec(
     end=dt.date(1999, 9, 30),
     trucks=("Truck_1", "Truck_3", "Truck_8"),
 )
+TREE = forest.ForestSize(trees=1, depth=2, exhaustive=True)
+#: Price differs on nearly every test row, so it has more values than Spark has bins.
+TREE_NUMERIC = tuple(c for c in demand.NUMERIC if c != "price")
 NO_MATCH = FilterSpec(categories=("NO SUCH CATEGORY",), trucks=("NO SUCH TRUCK",))
 
 
@@ -135,6 +138,29 @@ def delay_result(spark: SparkSession, sf: str) -> delay.DelayResult:
     return _delay(spark.sparkContext.applicationId, sf)
 
 
+@lru_cache(maxsize=4)
+def _demand_tree(app: str, sf: str) -> demand.DemandResult:
+    spark = SparkSession.active()
+    return demand.train_demand_model(
+        retail_cleaned(spark, sf), KEY, size=TREE, numeric=TREE_NUMERIC
+    )
+
+
+@lru_cache(maxsize=4)
+def _delay_tree(app: str, sf: str) -> delay.DelayResult:
+    spark = SparkSession.active()
+    return delay.train_delay_model(shipments(spark, sf), "shipment_id", size=TREE)
+
+
+def demand_tree(spark: SparkSession, sf: str) -> demand.DemandResult:
+    """One exhaustive tree, which SQL can grow too."""
+    return _demand_tree(spark.sparkContext.applicationId, sf)
+
+
+def delay_tree(spark: SparkSession, sf: str) -> delay.DelayResult:
+    return _delay_tree(spark.sparkContext.applicationId, sf)
+
+
 @lru_cache(maxsize=4)
 def _job(app: str, sf: str) -> str:
     spark = SparkSession.active()
@@ -650,6 +676,41 @@ def l6_demand_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _tree_nodes(result: Query) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        fitted = result(spark, sf)
+        nodes = trees.tree_nodes(fitted.model, fitted.predictions).drop("tree")
+        return nodes.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("gain", "prediction")})
+
+    return query
+
+
+def l5_tree_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return delay_tree(spark, sf).predictions.select("shipment_id", delay.TARGET, "prediction")
+
+
+def l6_tree_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(demand_tree(spark, sf).predictions.select(*KEY, "units_sold", "prediction"))
+
+
+def l8_tree_risk(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(delay_tree(spark, sf).scored.select("shipment_id", "delay_risk_score"))
+
+
+def l9_tree_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """From the table of nodes, which the model's own importances must equal."""
+    fitted = delay_tree(spark, sf)
+    nodes = trees.tree_nodes(fitted.model, fitted.predictions)
+    own = trees.node_importance(nodes, fitted.importance)
+    given = fitted.importance.withColumnRenamed("importance", "given")
+    return rounded(own.join(given, "feature")).select(
+        "feature", "importance", F.abs(F.round(F.col("given") - F.col("importance"), 5)).alias("gap"))
+
+
+def k6_tree_top_features(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(report.top_features(demand_tree(spark, sf).importance))
+
+
 def _importance_check(result: Query) -> Query:
     """Feature names, and the sum of all importances on each row."""
     def query(spark: SparkSession, sf: str) -> DataFrame:
@@ -793,6 +854,13 @@ QUERIES: dict[str, Query] = {
     "l8_delay_risk_check": l8_delay_risk_check,
     "l9_demand_importance_check": _importance_check(demand_result),
     "l9_delay_importance_check": _importance_check(delay_result),
+    "l5_tree_predictions": l5_tree_predictions,
+    "l6_tree_nodes": _tree_nodes(demand_tree),
+    "l6_tree_predictions": l6_tree_predictions,
+    "l7_tree_nodes": _tree_nodes(delay_tree),
+    "l8_tree_risk": l8_tree_risk,
+    "l9_tree_importance": l9_tree_importance,
+    "k6_tree_top_features": k6_tree_top_features,
     "l9_demand_importance": lambda spark, sf: demand_result(spark, sf).importance,
     "l9_delay_importance": lambda spark, sf: delay_result(spark, sf).importance,
 }

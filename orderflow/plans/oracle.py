@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from orderflow.models import delay, demand
+from orderflow.plans import tree_sql
 
 RETAIL = """retail AS (
   SELECT cast(l.l_shipdate AS date) AS date,
@@ -164,6 +165,23 @@ _ON_BOTH = (RETAIL, ROWS, LOGISTICS, SHIPMENTS)
 _ON_HELD_OUT = (*_ON_CLEANED, HELD_OUT)
 _ON_RULE = (LOGISTICS, SHIPMENTS, RULE)
 
+_TREE_NUMERIC = tuple(c for c in demand.NUMERIC if c != "price")
+_ON_DEMAND_TREE = (
+    *_ON_CLEANED,
+    "dated AS (SELECT *, month(date) AS month_num FROM cleaned)",
+    tree_sql.tree_tables(
+        "dated", KEY, demand.TARGET, f"{hashed(*KEY.split(', '))} % 10000 >= 2000",
+        demand.CATEGORICAL, _TREE_NUMERIC, 2, "variance"),
+)
+_ON_DELAY_TREE = (
+    *_ON_SHIPMENTS,
+    TESTED,
+    tree_sql.tree_tables(
+        "shipments", "shipment_id", delay.TARGET,
+        "shipment_id NOT IN (SELECT shipment_id FROM tested)",
+        delay.CATEGORICAL, delay.NUMERIC, 2, "gini"),
+)
+
 
 # Rates often end exactly on half a unit of the sixth digit, and the last bit of a sum
 # depends on its order. The nudge before rounding, on both sides, decides such ties.
@@ -378,6 +396,32 @@ FROM rows_ GROUP BY category""",
     "l6_demand_check": sql(
         _ON_HELD_OUT, "SELECT count(*) AS predicted, 0::BIGINT AS outside FROM held_out"
     ),
+    "l5_tree_predictions": sql(
+        _ON_DELAY_TREE,
+        """SELECT shipment_id, cast(y AS int) AS logistics_delay, prediction
+FROM ends JOIN based USING (rid) WHERE NOT trained""",
+    ),
+    "l6_tree_nodes": sql(_ON_DEMAND_TREE, tree_sql.NODES),
+    "l6_tree_predictions": sql(
+        _ON_DEMAND_TREE,
+        f"""SELECT {KEY}, y AS units_sold, round(prediction + 1e-9, 6) AS prediction
+FROM ends JOIN based USING (rid) WHERE NOT trained""",
+    ),
+    "l7_tree_nodes": sql(_ON_DELAY_TREE, tree_sql.NODES),
+    "l8_tree_risk": sql(
+        _ON_DELAY_TREE,
+        "SELECT shipment_id, round(share + 1e-9, 6) AS delay_risk_score FROM ends JOIN based USING (rid)",
+    ),
+    "l9_tree_importance": sql(
+        _ON_DELAY_TREE,
+        f"""SELECT feature, round(importance + 1e-9, 6) AS importance, 0e0 AS gap
+FROM {tree_sql.IMPORTANCE}""",
+    ),
+    "k6_tree_top_features": sql(
+        _ON_DEMAND_TREE,
+        f"""SELECT feature, round(importance + 1e-9, 6) AS importance
+FROM {tree_sql.IMPORTANCE} ORDER BY 2 DESC, 1 LIMIT 10""",
+    ),
     "l7_delay_metrics_check": "SELECT * FROM (VALUES ('Accuracy', 0e0), ('F1_Score', 0e0)) t(metric, gap)",
     "l8_delay_risk_check": sql(
         _ON_LOGISTICS,

@@ -50,6 +50,14 @@ def staging_area(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(conf).delete(place, True)
 
 
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; inside a staging area it is deleted at its end."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _areas:
+        _areas[-1].append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -57,8 +65,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     the columns they need, and Catalyst sees the true table size.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if _areas:
-        _areas[-1].append(path)
+    path = staged_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
