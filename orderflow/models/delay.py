@@ -66,7 +66,7 @@ def train_delay_model(
         model,
         predictions,
         classification_metrics(predictions, TARGET, "prediction"),
-        feature_importance(model, predictions),
+        feature_importance(model),
         score_delay_risk(model, logistics),
     )
 

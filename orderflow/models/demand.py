@@ -76,4 +76,4 @@ def train_demand_model(
         TARGET,
         {"naive_moving_avg_baseline": BASELINE, "random_forest_model": "prediction"},
     )
-    return DemandResult(model, predictions, comparison, feature_importance(model, predictions))
+    return DemandResult(model, predictions, comparison, feature_importance(model))

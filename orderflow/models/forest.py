@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions.expr import in_test_split, key_hash
+from orderflow.models.encoding import CategoryEncoder, CategoryModel
 from orderflow.operators.bridge import number_within
 from orderflow.session import stage
 
@@ -51,23 +52,8 @@ class ForestSize:
 
 
 def one_hot_stages(columns: Sequence[str]) -> list[Estimator]:
-    """One slot per value seen in training, in alphabetical order.
-
-    The indexer puts unseen and missing values into an extra last slot, which
-    the encoder drops, so such a value becomes all zeros.
-    """
-    index = StringIndexer(
-        inputCols=list(columns),
-        outputCols=[f"{c}_index" for c in columns],
-        handleInvalid="keep",
-        stringOrderType="alphabetAsc",
-    )
-    encode = OneHotEncoder(
-        inputCols=[f"{c}_index" for c in columns],
-        outputCols=[f"{c}_onehot" for c in columns],
-        dropLast=True,
-    )
-    return [index, encode]
+    """One slot per value seen in training, in alphabetical order; other values are all zeros."""
+    return [CategoryEncoder(columns)]
 
 
 def assembler(categorical: Sequence[str], numeric: Sequence[str]) -> VectorAssembler:
@@ -126,19 +112,35 @@ def spread(features: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return stage(features.repartition(tasks, key_hash(SEED, *keys)), name)
 
 
-def feature_names(scored: DataFrame) -> list[str]:
-    """Names of the slots of ``features``, such as ``region_North`` or ``price``."""
-    groups = scored.schema["features"].metadata["ml_attr"]["attrs"].values()
-    slots = sorted((slot for group in groups for slot in group), key=lambda s: s["idx"])
-    return [s["name"].replace("_onehot_", "_", 1) for s in slots]
+def feature_table(model: PipelineModel) -> DataFrame:
+    """(index, feature) of the slots of ``features``, such as ``region_North`` or ``price``."""
+    spark = SparkSession.active()
+    numeric = [c for c in _assembled(model) if not c.endswith("_onehot")]
+    width = sum(model.stages[0].sizes.values())
+    names = spark.createDataFrame(
+        [(width + i, c) for i, c in enumerate(numeric)], "index int, feature string"
+    )
+    encoder: CategoryModel = model.stages[0]
+    return encoder.feature_names().unionByName(names) if encoder.columns else names
+
+
+def _assembled(model: PipelineModel) -> list[str]:
+    return next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
 
 
-def feature_importance(model: PipelineModel, scored: DataFrame) -> DataFrame:
-    """(feature, importance), largest first. The list is as long as the model is wide."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = list(zip(feature_names(scored), [float(w) for w in weights], strict=True))
-    table = scored.sparkSession.createDataFrame(rows, "feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature")
+def feature_importance(model: PipelineModel) -> DataFrame:
+    """(feature, importance), largest first. Only weights other than 0 pass the driver."""
+    weights = model.stages[-1].featureImportances
+    held = SparkSession.active().createDataFrame(
+        list(zip(weights.indices.tolist(), weights.values.tolist(), strict=True)),
+        "index int, importance double",
+    )
+    return (
+        feature_table(model)
+        .join(held, "index", "left")
+        .select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+        .orderBy(F.desc("importance"), "feature")
+    )
 
 
 def positive_probability(column: str = "probability") -> Column:

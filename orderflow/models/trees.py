@@ -3,30 +3,26 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.models.forest import feature_names
+from orderflow.models.forest import feature_table
 from orderflow.session import staged_path
 
 ROOT = "T"
 
 
-def tree_nodes(model: PipelineModel, scored: DataFrame) -> DataFrame:
+def tree_nodes(model: PipelineModel) -> DataFrame:
     """(tree, place, feature, threshold, left_value, rows, gain, prediction) of every node.
 
     ``place`` is the way from the root, such as ``TLR``. A row goes left if a numeric feature
     is at most ``threshold``, or if a one-hot feature equals ``left_value``; leaves have
-    neither. The nodes are read from the model as Spark stores it, so they never pass the
-    driver; only the names of the features do, one for each slot of the model.
+    neither. The nodes are read from the model as Spark stores it, so they never pass the driver.
     """
-    spark = scored.sparkSession
+    spark = SparkSession.active()
     path = staged_path(spark, "forest")
     forest = model.stages[-1]
     forest.write().save(path)
-    names = spark.createDataFrame(
-        list(enumerate(feature_names(scored))), "index int, feature string"
-    )
     stored = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
     split, values = F.col("split"), F.col("split.leftCategoriesOrThreshold")
     numeric = F.col("split.numCategories") == -1
@@ -45,7 +41,7 @@ def tree_nodes(model: PipelineModel, scored: DataFrame) -> DataFrame:
     )
     return (
         _placed(nodes, forest.getOrDefault("maxDepth"))
-        .join(F.broadcast(names), "index", "left")
+        .join(feature_table(model), "index", "left")
         .select("tree", "place", "feature", "threshold", "left_value", "rows", "gain", "prediction")
     )
 

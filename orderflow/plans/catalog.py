@@ -678,8 +678,7 @@ def l6_demand_check(spark: SparkSession, sf: str) -> DataFrame:
 
 def _tree_nodes(result: Query) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        fitted = result(spark, sf)
-        nodes = trees.tree_nodes(fitted.model, fitted.predictions).drop("tree")
+        nodes = trees.tree_nodes(result(spark, sf).model).drop("tree")
         return nodes.withColumns({c: F.round(F.col(c) + 1e-9, 6) for c in ("gain", "prediction")})
 
     return query
@@ -700,7 +699,7 @@ def l8_tree_risk(spark: SparkSession, sf: str) -> DataFrame:
 def l9_tree_importance(spark: SparkSession, sf: str) -> DataFrame:
     """From the table of nodes, which the model's own importances must equal."""
     fitted = delay_tree(spark, sf)
-    nodes = trees.tree_nodes(fitted.model, fitted.predictions)
+    nodes = trees.tree_nodes(fitted.model)
     own = trees.node_importance(nodes, fitted.importance)
     given = fitted.importance.withColumnRenamed("importance", "given")
     return rounded(own.join(given, "feature")).select(
