@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,8 +11,8 @@ from orderflow.models.forest import ForestSize
 from orderflow.operators import bridge, kpis
 from orderflow.operators.logistics import clean_logistics
 from orderflow.operators.retail import LONG_SERIES_ROWS, SERIES, clean_retail
-from orderflow.session import stage, staging_area
-from orderflow.sources import tables
+from orderflow.session import staging_area
+from orderflow.sources import tables, versions
 from orderflow.sources.csv_source import (
     parse_columns,
     read_logistics_csv,
@@ -22,6 +22,8 @@ from orderflow.sources.csv_source import (
 
 ROW_ID = "row_id"
 SHIPMENT_ID = "shipment_id"
+#: Counted up when a change of the code changes results, so that no run goes on from old ones.
+RESULTS = 1
 
 
 def run_pipeline(
@@ -35,72 +37,91 @@ def run_pipeline(
     delay_size: ForestSize = delay.SIZE,
     long_rows: int = LONG_SERIES_ROWS,
 ) -> None:
-    """Write all result tables below ``out_dir``.
+    """Write all result tables below ``out_dir`` and publish them as one version.
 
     ``tie_breakers`` order the rows of one store, product and day; a column that the
     inputs do not declare is text unless given as ``name:type``.
 
-    CSV text is parsed once, into staged Parquet. Each large table is written as
-    soon as it is complete and later steps start from the written files, so they
-    read only the columns they need and a lost executor costs one step at most.
-    All KPI tables of one source come from one set of totals. Staged tables are
-    deleted at the end.
+    CSV text is parsed once, into Parquet. Each large table is written as soon as it is
+    complete and later steps start from the written files, so they read only the columns
+    they need and a lost executor costs one step at most. All KPI tables of one source
+    come from one set of totals. Readers see the tables of the version before until all
+    are complete. A run that was stopped goes on, when started again with the same inputs
+    and settings, after its last finished table; a published one is not repeated.
     """
+    settings = (tuple(tie_breakers), demand_size, delay_size, long_rows)
+    version = versions.version_of(spark, (retail_csv, logistics_csv), (RESULTS, *settings))
+    run = versions.Run(spark, out_dir, version)
+    if run.is_published:
+        run.settle([tables.CSV])
+        return
     with staging_area(spark):
-        _run(spark, retail_csv, logistics_csv, out_dir, tie_breakers, demand_size, delay_size,
-             long_rows)
+        _build(run, retail_csv, logistics_csv, *settings)
+    run.publish(tables.TABLES, [tables.CSV])
 
 
-def _run(
-    spark: SparkSession,
+def _build(
+    run: versions.Run,
     retail_csv: str,
     logistics_csv: str,
-    out_dir: str,
     tie_columns: Sequence[str],
     demand_size: ForestSize,
     delay_size: ForestSize,
     long_rows: int,
 ) -> None:
+    spark = run.spark
     tie_breakers, extra = parse_columns(tie_columns)
 
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        tables.write_table(df, out_dir, name)
-        return tables.read_table(spark, out_dir, name)
-
-    scanned = stage(read_retail_csv(spark, retail_csv, extra=extra, located=True), "retail")
-    raw_retail = with_input_position(scanned, ROW_ID)
-    scanned = stage(read_logistics_csv(spark, logistics_csv, located=True), "logistics")
-    raw_logistics = with_input_position(scanned, SHIPMENT_ID)
-    retail = publish("retail_cleaned", clean_retail(raw_retail, tie_breakers, long_rows=long_rows))
+    def table(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return run.table(name, make, tables.write_table)
 
-    delay_result = delay.train_delay_model(
-        clean_logistics(raw_logistics), SHIPMENT_ID, size=delay_size
+    scanned_retail = run.scratch(
+        "retail", lambda: read_retail_csv(spark, retail_csv, extra=extra, located=True)
     )
-    logistics = publish("logistics_cleaned", delay_result.scored)
-    demand_result = demand.train_demand_model(
-        retail, [*SERIES, "date", *tie_breakers], size=demand_size
+    scanned_logistics = run.scratch(
+        "logistics", lambda: read_logistics_csv(spark, logistics_csv, located=True)
     )
-    pairs = publish("bridge_perfect_order", bridge.build_bridge(retail, logistics, SHIPMENT_ID))
+    retail = table(
+        "retail_cleaned",
+        lambda: clean_retail(
+            with_input_position(scanned_retail, ROW_ID), tie_breakers, long_rows=long_rows
+        ),
+    )
+    # One training gives several tables; it is repeated only if one of them is missing.
+    trained = ("logistics_cleaned", "model_delay_metrics", "model_delay_feature_importance")
+    if not run.finished(*trained):
+        raw = with_input_position(scanned_logistics, SHIPMENT_ID)
+        delays = delay.train_delay_model(clean_logistics(raw), SHIPMENT_ID, size=delay_size)
+        for name, df in zip(trained, (delays.scored, delays.metrics, delays.importance), strict=True):
+            table(name, lambda df=df: df)
+    logistics = spark.read.parquet(f"{run.folder}/logistics_cleaned")
+    trained = ("model_forecast_comparison", "model_forecast_feature_importance")
+    if not run.finished(*trained):
+        fitted = demand.train_demand_model(
+            retail, [*SERIES, "date", *tie_breakers], size=demand_size
+        )
+        for name, df in zip(trained, (fitted.comparison, fitted.importance), strict=True):
+            table(name, lambda df=df: df)
 
-    sold = stage(kpis.retail_totals(retail), "retail-totals")
-    sent = stage(kpis.logistics_totals(logistics), "logistics-totals")
-    results = {
-        "retail_kpi_daily": kpis.retail_kpi_daily(sold),
-        "retail_kpi_monthly": kpis.retail_kpi_monthly(sold),
-        "retail_monthly_overall": kpis.retail_monthly_overall(sold),
-        "retail_category_summary": kpis.retail_category_summary(sold),
-        "retail_promo_lift": kpis.retail_promo_lift(sold),
-        "logistics_asset_kpi": kpis.logistics_asset_kpi(sent),
-        "logistics_traffic_kpi": kpis.logistics_traffic_kpi(sent),
-        "logistics_delay_reason_kpi": kpis.logistics_delay_reason_kpi(sent),
-        "logistics_monthly_otd": kpis.logistics_monthly_otd(sent),
-        "model_forecast_comparison": demand_result.comparison,
-        "model_forecast_feature_importance": demand_result.importance,
-        "model_delay_metrics": delay_result.metrics,
-        "model_delay_feature_importance": delay_result.importance,
-        "perfect_order_by_category": bridge.perfect_order_by_category(pairs),
+    pairs = table(
+        "bridge_perfect_order", lambda: bridge.build_bridge(retail, logistics, SHIPMENT_ID)
+    )
+    sold = run.scratch("retail_totals", lambda: kpis.retail_totals(retail))
+    sent = run.scratch("logistics_totals", lambda: kpis.logistics_totals(logistics))
+    builders = {
+        "retail_kpi_daily": lambda: kpis.retail_kpi_daily(sold),
+        "retail_kpi_monthly": lambda: kpis.retail_kpi_monthly(sold),
+        "retail_monthly_overall": lambda: kpis.retail_monthly_overall(sold),
+        "retail_category_summary": lambda: kpis.retail_category_summary(sold),
+        "retail_promo_lift": lambda: kpis.retail_promo_lift(sold),
+        "logistics_asset_kpi": lambda: kpis.logistics_asset_kpi(sent),
+        "logistics_traffic_kpi": lambda: kpis.logistics_traffic_kpi(sent),
+        "logistics_delay_reason_kpi": lambda: kpis.logistics_delay_reason_kpi(sent),
+        "logistics_monthly_otd": lambda: kpis.logistics_monthly_otd(sent),
+        "perfect_order_by_category": lambda: bridge.perfect_order_by_category(pairs),
     }
-    for name, df in results.items():
-        written = publish(name, df)
-        tables.export_csv(written, out_dir, name)
-    tables.export_csv(pairs, out_dir, "bridge_perfect_order")
+    for name, make in builders.items():
+        table(name, make)
+    for name in tables.TABLES:
+        if name not in tables.PARTITIONED:
+            tables.export_csv(spark.read.parquet(f"{run.folder}/{name}"), run.folder, name)

@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.sources import versions
 from orderflow.sources.schemas import DETAIL_COLUMNS, heading
 
+CSV = "csv"
 #: The two row-level tables are laid out by month, which report filters prune.
 PARTITIONED = {"retail_cleaned": "month", "logistics_cleaned": "month"}
 #: Tables exported in the order of a column: sort column, largest first.
@@ -85,16 +87,20 @@ def export_csv(df: DataFrame, out_dir: str, name: str) -> None:
             df = df.orderBy(order, df.columns[0])
     titled = df.toDF(*[heading(c) for c in df.columns])
     writer = titled.write.mode("overwrite").option("header", True).option("escape", '"')
-    writer.csv(f"{out_dir}/csv/{name}")
+    writer.csv(f"{out_dir}/{CSV}/{name}")
 
 
 def read_table(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out_dir}/{name}")
+    """A table of the published version."""
+    return spark.read.parquet(versions.table_path(spark, out_dir, name))
 
 
 def read_report_tables(spark: SparkSession, out_dir: str) -> Mapping[str, DataFrame]:
-    """The tables of the report, by name."""
-    return {name: read_table(spark, out_dir, name) for name in REPORT_TABLES}
+    """The tables of the report, by name, all of one version."""
+    manifest = versions.published(spark, out_dir)
+    if manifest is not None:
+        out_dir = f"{out_dir}/{versions.VERSIONS}/{manifest['version']}"
+    return {name: spark.read.parquet(f"{out_dir}/{name}") for name in REPORT_TABLES}
 
 
 class ReportTables(Mapping):
@@ -131,6 +137,32 @@ class ReportTables(Mapping):
         self.release()
 
 
+class LiveTables:
+    """The report's tables of the version that is published now.
+
+    They are kept in memory between calls of :meth:`now` until a new version appears.
+    """
+
+    def __init__(self, spark: SparkSession, out_dir: str):
+        self._spark, self._out_dir = spark, out_dir
+        self._version: str | None = None
+        self._tables: ReportTables | None = None
+
+    def now(self) -> ReportTables:
+        manifest = versions.published(self._spark, self._out_dir)
+        version = manifest["version"] if manifest else None
+        if self._tables is None or version != self._version:
+            self.release()
+            self._tables = keep_in_memory(read_report_tables(self._spark, self._out_dir))
+            self._version = version
+        return self._tables
+
+    def release(self) -> None:
+        if self._tables is not None:
+            self._tables.release()
+            self._tables = None
+
+
 def keep_in_memory(tables: Mapping[str, DataFrame]) -> ReportTables:
     """Keep the row-level tables ready between report queries, until released."""
     return ReportTables(tables)
