@@ -5,7 +5,7 @@ meets and counts phrases in a HAT-trie for each language: a shallow trie over wo
 numbers whose leaves are hash containers of the rest of the phrase. A container that
 outgrows ``BURST`` entries bursts into a trie node with a container for each next word.
 A trie of more than ``ENTRIES`` entries spills its largest subtrees (all phrases with one
-first word) as runs sorted by phrase, until half of it is left. Runs are dealt by prefix
+first word) as runs sorted by word numbers, until half of it is left. Runs are dealt by prefix
 partition, language and first word, and those of a partition are merged by adding equal
 phrases. The phrases of a very frequent first word are dealt to ``PARTS`` partitions.
 
@@ -20,7 +20,9 @@ count again; ties in rank are ended by phrase; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ LEAST, LONGEST, BEST = 10, 3, 2_000
 #: Percent of a phrase's occurrences inside one longer candidate that drop it.
 COVERED = 50
 #: Entries of a container before it bursts, and of a task's trie before it spills.
-BURST, ENTRIES = 4_096, 600_000
+BURST, ENTRIES = 4_096, 700_000
 #: First words with so many occurrences, and that share of a language's words, are split.
 HOT, HOT_SHARE, PARTS = 1_000, 0.01, 64
 #: Bits of a word's number: three fit in 63. A task with more words spills all and starts anew.
@@ -83,23 +85,42 @@ class HatTrie:
         self.words, self.burst, self.size = words, burst, 0
         self.root: dict = {}
 
-    def add(self, keys: list[int], counts: list[int]) -> None:
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Adds to counts; ``keys`` are in order, so phrases with one first word come together."""
+        if type(self.root) is not Node:
+            self._into(None, 0, self.root, self.words, keys.tolist(), counts.tolist())
+            return
+        below = self.words - 1
+        firsts, rests = keys >> WORD_BITS * below, keys & (1 << WORD_BITS * below) - 1
+        ends = [*(np.flatnonzero(np.diff(firsts)) + 1).tolist(), len(keys)] if len(keys) else []
+        firsts, rests, numbers = firsts.tolist(), rests.tolist(), counts.tolist()
+        begin = 0
+        for end in ends:
+            first = firsts[begin]
+            child = self.root.get(first)
+            if child is None:
+                self.root[first] = dict(zip(rests[begin:end], numbers[begin:end]))
+                self.size += end - begin
+            else:
+                self._into(self.root, first, child, below, rests[begin:end], numbers[begin:end])
+            begin = end
+
+    def _into(self, above: Node | None, edge: int, node: dict, below: int, keys: list[int],
+              counts: list[int]) -> None:
+        """Adds rests of phrases below ``node``, the child of ``above`` at ``edge``."""
+        if type(node) is Node:
+            below -= 1
+            mask = (1 << WORD_BITS * below) - 1
+            for key, n in zip(keys, counts):
+                at = key >> WORD_BITS * below
+                self._into(node, at, node.setdefault(at, {}), below, [key & mask], [n])
+            return
+        before, get = len(node), node.get
         for key, n in zip(keys, counts):
-            above, edge, node, below = None, 0, self.root, self.words
-            while type(node) is Node:
-                below -= 1
-                edge, key = key >> WORD_BITS * below, key & (1 << WORD_BITS * below) - 1
-                above, node = node, node.get(edge)
-                if node is None:
-                    node = above[edge] = {}
-            old = node.get(key)
-            if old is not None:
-                node[key] = old + n
-                continue
-            node[key] = n
-            self.size += 1
-            if below > 1 and len(node) > self.burst:
-                self._burst(above, edge, node, below - 1)
+            node[key] = get(key, 0) + n
+        self.size += len(node) - before
+        if below > 1 and len(node) > self.burst:
+            self._burst(above, edge, node, below - 1)
 
     def _burst(self, above: Node | None, edge: int, full: dict, below: int) -> None:
         node, mask = Node(), (1 << WORD_BITS * below) - 1
@@ -110,48 +131,50 @@ class HatTrie:
         else:
             above[edge] = node
 
-    def spill(self, left: int = 0) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-        """(first word, [(packed phrase, count)]) of the largest subtrees, until ``left`` remain."""
-        if self.size <= left:
-            return
+    def spill(self, left: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Packed phrases in order, with counts, of the largest subtrees, until ``left`` remain."""
         if type(self.root) is not Node:
-            if self.words > 1:
-                self._burst(None, 0, self.root, self.words - 1)
-            else:
-                for key, n in self.root.items():
-                    yield key, [(key, n)]
-                self.root, self.size = {}, 0
-                return
+            self._burst(None, 0, self.root, self.words - 1)
         below = self.words - 1
         sizes = {first: _entries(child) for first, child in self.root.items()}
+        firsts: list[int] = []
+        rests: list[int] = []
+        counts: list[int] = []
         for first in sorted(sizes, key=sizes.get, reverse=True):
             if self.size <= left:
-                return
+                break
+            firsts += [first] * sizes[first]
+            _take(self.root.pop(first), below, 0, rests, counts)
             self.size -= sizes[first]
-            base = first << WORD_BITS * below
-            yield first, [(base | key, n) for key, n in _leaves(self.root.pop(first), below)]
+        keys = np.array(firsts, np.int64) << WORD_BITS * below | np.array(rests, np.int64)
+        order = np.argsort(keys)
+        return keys[order], np.array(counts, np.int64)[order]
 
 
 def _entries(node: dict) -> int:
     return sum(map(_entries, node.values())) if type(node) is Node else len(node)
 
 
-def _leaves(node: dict, below: int) -> Iterator[tuple[int, int]]:
-    if type(node) is not Node:
-        yield from node.items()
+def _take(node: dict, below: int, base: int, rests: list[int], counts: list[int]) -> None:
+    """Adds the packed rests and counts below ``node``, which stands after the words of ``base``."""
+    if type(node) is Node:
+        for edge, child in node.items():
+            _take(child, below - 1, base | edge << WORD_BITS * (below - 1), rests, counts)
         return
-    below -= 1
-    for edge, child in node.items():
-        base = edge << WORD_BITS * below
-        for key, n in _leaves(child, below):
-            yield base | key, n
+    rests += [base | key for key in node] if base else node
+    counts += node.values()
 
 
 # --- which phrases to count -----------------------------------------------------------------
 
 
 def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word, xxhash.xxh3_64_intdigest(lang.encode()))
+    return xxhash.xxh3_64_intdigest(word, _seed(lang))
+
+
+@lru_cache
+def _seed(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
 
 
 def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -205,11 +228,37 @@ class _Words(dict):
         return at
 
 
-class Counter:
+class WordCounter:
+    """The counts of one language's words in a task: the trie's first level, one container."""
+
+    def __init__(self, lang: str):
+        self.lang = lang
+        self.words: Counter = Counter()
+
+    @property
+    def size(self) -> int:
+        return len(self.words)
+
+    def add(self, text: bytes) -> None:
+        self.words.update(text.replace(MARK, b" ").split())
+
+    def runs(self, left: int = 0) -> Iterator[pa.RecordBatch]:
+        if not self.words:
+            return
+        words = sorted(self.words)
+        counts = list(map(self.words.__getitem__, words))
+        yield pa.RecordBatch.from_arrays([
+            pa.array([self.lang] * len(words), pa.string()),
+            pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()),
+        ], ["lang", "first", "f"])
+        self.words.clear()
+
+
+class PhraseCounter:
     """The words and the trie of one language in a task."""
 
-    def __init__(self, lang: str, words: int, tables: list[np.ndarray], hot: set[bytes]):
-        self.lang, self.length, self.tables, self.hot = lang, words, tables, hot
+    def __init__(self, lang: str, length: int, tables: list[np.ndarray], hot: set[bytes]):
+        self.lang, self.length, self.tables, self.hot = lang, length, tables, hot
         self._anew()
 
     def _anew(self) -> None:
@@ -217,27 +266,30 @@ class Counter:
         self.hashes = np.zeros(1, np.uint64)
         self.frequent = np.zeros(1, bool)
 
+    @property
+    def size(self) -> int:
+        """Above all bounds if word numbers are about to outgrow their bits."""
+        return self.trie.size if len(self.words.list) >> WORD_BITS - 1 == 0 else 1 << 62
+
     def _learn(self) -> None:
         """Hashes of new words, and whether they are frequent."""
         new = self.words.list[len(self.hashes):]
         got = np.fromiter((word_hash(self.lang, w) for w in new), np.uint64, len(new))
         self.hashes = np.concatenate([self.hashes, got])
-        known = _has(self.tables[0], got) if self.tables else np.ones(len(new), bool)
-        self.frequent = np.concatenate([self.frequent, known])
+        self.frequent = np.concatenate([self.frequent, _has(self.tables[0], got)])
 
-    def windows(self, text: bytes) -> Iterator[list[bytes]]:
-        """Words and marks; each phrase begins in one window. A word has any byte but blanks and marks."""
+    def add(self, text: bytes) -> None:
+        """Counts in windows; each phrase begins in one. A word has any byte but blanks and marks."""
         tokens = text.replace(MARK, b" \xff ").split()
-        for begin in range(0, len(tokens), WINDOW):
-            yield tokens[begin:begin + WINDOW + self.length - 1]
-
-    def add(self, tokens: list[bytes]) -> None:
         at = np.array(list(map(self.words.__getitem__, tokens)), np.int64)
         if len(self.words.list) > len(self.hashes):
             self._learn()
+        for begin in range(0, len(at), WINDOW):
+            self._window(at[begin:begin + WINDOW + self.length - 1])
+
+    def _window(self, at: np.ndarray) -> None:
         good = self.frequent[at]
-        whole = good
-        keys = at
+        whole, keys = good, at
         for k in range(1, self.length):
             whole = whole[:-1] & good[k:]
             keys = keys[:-1] << WORD_BITS | at[k:]
@@ -246,74 +298,55 @@ class Counter:
             pair = np.zeros(max(len(at) - 1, 0), bool)
             pair[spots] = _has(self.tables[1], _mixed(self.hashes[at[spots]], self.hashes[at[spots + 1]]))
             whole = whole & pair[:-1] & pair[1:]
-        found, counts = np.unique(keys[whole], return_counts=True)
-        self.trie.add(found.tolist(), counts.tolist())
-
-    def full(self) -> bool:
-        return len(self.words.list) >> WORD_BITS - 1 > 0
-
-    def runs(self, left: int = 0) -> Iterator[tuple]:
-        """Rows of spilled subtrees, each sorted by phrase."""
-        names, mask = self.words.list, (1 << WORD_BITS) - 1
-        for first, phrases in self.trie.spill(left):
-            rests = sorted(
-                (b" ".join([names[key >> WORD_BITS * i & mask] for i in range(self.length - 2, -1, -1)]), n)
-                for key, n in phrases)
-            if names[first] not in self.hot:
-                yield self.lang, names[first], 0, [r for r, _ in rests], [n for _, n in rests]
-                continue
-            dealt: dict[int, list] = {}
-            for rest in rests:
-                dealt.setdefault(xxhash.xxh3_64_intdigest(rest[0]) % PARTS, []).append(rest)
-            for part, own in dealt.items():
-                yield self.lang, names[first], part, [r for r, _ in own], [n for _, n in own]
+        self.trie.add(*np.unique(keys[whole], return_counts=True))
+
+    def runs(self, left: int = 0) -> Iterator[pa.RecordBatch]:
+        """Spilled subtrees, a row for each prefix partition of one, in the order of word numbers."""
+        left = 0 if self.size > self.trie.size else left
+        keys, counts = self.trie.spill(left)
+        if len(keys):
+            yield self._batch(keys, counts)
         if not left:
             self._anew()
 
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, first, part, rests, counts = zip(*rows)
-    return pa.RecordBatch.from_arrays([
-        pa.array(lang, pa.string()), pa.array(first, pa.binary()).cast(pa.string()),
-        pa.array(part, pa.int32()),
-        pa.array(rests, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
-        pa.array(counts, pa.list_(pa.int64())),
-    ], ["lang", "first", "part", "rests", "counts"])
-
-
-def _batches(rows: Iterator[tuple], most: int = 5_000) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    for row in rows:
-        held.append(row)
-        if len(held) >= most:
-            yield _batch(held)
-            held = []
-    if held:
-        yield _batch(held)
-
-
-def count(docs: DataFrame, words: int, tables: list[np.ndarray], hot: list, name: str) -> DataFrame:
-    """lang, first, rest, f: occurrences of the phrases of ``words`` words that ``tables`` pass; staged."""
-    shared = docs.sparkSession.sparkContext.broadcast(([t.tobytes() for t in tables], hot))
+    def _batch(self, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        names, mask = self.words.list, (1 << WORD_BITS) - 1
+        firsts = keys >> WORD_BITS * (self.length - 1)
+        rests = list(map(names.__getitem__, (keys >> WORD_BITS * (self.length - 2) & mask).tolist()))
+        if self.length == 3:
+            rests = list(map(b" ".join, zip(rests, map(names.__getitem__, (keys & mask).tolist()))))
+        part = np.zeros(len(keys), np.int32)
+        split = [self.words[w] for w in self.hot if w in self.words]
+        for at in np.flatnonzero(np.isin(firsts, split)).tolist():
+            part[at] = xxhash.xxh3_64_intdigest(rests[at]) % PARTS
+        if part.any():
+            order = np.lexsort((keys, part, firsts))
+            firsts, part, counts = firsts[order], part[order], counts[order]
+            rests = [rests[i] for i in order.tolist()]
+        begins = np.flatnonzero(np.diff(firsts, prepend=-1) | np.diff(part, prepend=-1))
+        offsets = pa.array(np.append(begins, len(keys)), pa.int32())
+        first = pa.array(map(names.__getitem__, firsts[begins].tolist()), pa.binary())
+        return pa.RecordBatch.from_arrays([
+            pa.array([self.lang] * len(begins), pa.string()), first.cast(pa.string()),
+            pa.array(part[begins], pa.int32()),
+            pa.ListArray.from_arrays(offsets, pa.array(rests, pa.binary()).cast(pa.string())),
+            pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+        ], ["lang", "first", "part", "rests", "counts"])
+
+
+def _runs(docs: DataFrame, counter: Callable[[str], WordCounter | PhraseCounter], schema: str) -> DataFrame:
+    """The runs of all tasks; ``counter`` makes the counter of a language in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = [np.frombuffer(t, np.uint8) for t in shared.value[0]]
-        split: dict[str, set[bytes]] = {}
-        for lang, word in shared.value[1]:
-            split.setdefault(lang, set()).add(word.encode())
-        counters: dict[str, Counter] = {}
+        counters: dict[str, WordCounter | PhraseCounter] = {}
 
         def grown(lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
-            counter = counters.get(lang)
-            if counter is None:
-                counter = counters[lang] = Counter(lang, words, own, split.get(lang, set()))
-            for tokens in counter.windows(text):
-                counter.add(tokens)
-                if counter.full():
-                    yield from _batches(counter.runs())
-                while sum(c.trie.size for c in counters.values()) > ENTRIES:
-                    largest = max(counters.values(), key=lambda c: c.trie.size)
-                    yield from _batches(largest.runs(largest.trie.size // 2))
+            if lang not in counters:
+                counters[lang] = counter(lang)
+            counters[lang].add(text)
+            while sum(c.size for c in counters.values()) > ENTRIES:
+                largest = max(counters.values(), key=lambda c: c.size)
+                yield from largest.runs(largest.size // 2)
 
         for batch in batches:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -328,11 +361,33 @@ def count(docs: DataFrame, words: int, tables: list[np.ndarray], hot: list, name
                         sizes[lang] = 0
             for lang, parts in held.items():
                 yield from grown(lang, MARK.join(parts))
-        for counter in counters.values():
-            yield from _batches(counter.runs())
+        for own in counters.values():
+            yield from own.runs()
 
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
-    runs = in_small_batches(rows).mapInArrow(run, RUNS).repartition("lang", "first", "part")
+    return in_small_batches(rows).mapInArrow(run, schema)
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """lang, first, rest (empty), f: occurrences of every word; staged."""
+    runs = _runs(docs, WordCounter, "lang string, first string, f long")
+    merged = runs.groupBy("lang", "first").agg(F.sum("f").alias("f"))
+    return stage(merged.select("lang", "first", F.lit("").alias("rest"), "f"), "words")
+
+
+def count_phrases(docs: DataFrame, length: int, tables: list[np.ndarray], hot: list[tuple[str, str]],
+                  name: str) -> DataFrame:
+    """lang, first, rest, f: occurrences of the phrases of ``length`` words that ``tables`` pass; staged.
+
+    ``hot`` are first words (lang, word) whose phrases are dealt to several partitions.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast([t.tobytes() for t in tables])
+
+    def counter(lang: str) -> PhraseCounter:
+        own = [np.frombuffer(t, np.uint8) for t in shared.value]
+        return PhraseCounter(lang, length, own, {w.encode() for x, w in hot if x == lang})
+
+    runs = _runs(docs, counter, RUNS).repartition("lang", "first", "part")
     one = F.explode(F.arrays_zip("rests", "counts")).alias("one")
     merged = (
         runs.select("lang", "first", "part", one)
@@ -351,7 +406,7 @@ def _exact(column: str) -> Column:
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, covered: int = COVERED) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``best`` phrases of each language."""
-    every = count(docs, 1, [], [], "words")
+    every = count_words(docs)
     total = stage(every.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
     words = every.where(F.col("f") >= least)
     # at most 1 / HOT_SHARE words of a language
@@ -359,9 +414,9 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, covered:
         F.col("f") >= F.col("n") * HOT_SHARE)
     hot = [tuple(r) for r in hot.select("lang", "first").collect()]
     tables = [bit_table(words)]
-    pairs = count(docs, 2, tables, hot, "pairs").where(F.col("f") >= least)
+    pairs = count_phrases(docs, 2, tables, hot, "pairs").where(F.col("f") >= least)
     tables.append(bit_table(pairs))
-    triples = count(docs, 3, tables, hot, "triples").where(F.col("f") >= least)
+    triples = count_phrases(docs, 3, tables, hot, "triples").where(F.col("f") >= least)
     return ranked(words, pairs, triples, total, best, covered)
 
 

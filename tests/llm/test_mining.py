@@ -87,21 +87,24 @@ def test_search_of_empty_tables_and_long_texts(spark):
 
 def test_trie_counts_like_a_table():
     rng = random.Random(3)
-    for length in (1, 2, 3):
+    for length in (2, 3):
         trie, plain = phrases.HatTrie(length, burst=5), Counter()
         got = Counter()
         for _ in range(40):
             keys = [sum(rng.choice([1, 2, 3, 30, 900]) << phrases.WORD_BITS * i for i in range(length)) for _ in range(50)]
-            trie.add(keys, [2] * len(keys))
+            found, times = np.unique(keys, return_counts=True)
+            trie.add(found, 2 * times)
             plain.update({k: 2 * n for k, n in Counter(keys).items()})
             if rng.random() < 0.2:
-                for first, own in trie.spill(trie.size // 2):
-                    assert {k >> phrases.WORD_BITS * (length - 1) for k, _ in own} == {first}
-                    got.update(dict(own))
+                left = trie.size // 2
+                own, numbers = trie.spill(left)
+                assert trie.size <= left and (np.diff(own) > 0).all()
+                assert not {k >> phrases.WORD_BITS * (length - 1) for k in own.tolist()} & set(trie.root)
+                got.update(dict(zip(own.tolist(), numbers.tolist())))
         size = trie.size
-        rest = [x for _, own in trie.spill() for x in own]
-        assert len(rest) == size and trie.size == 0
-        got.update(dict(rest))
+        own, numbers = trie.spill()
+        assert len(own) == size and trie.size == 0
+        got.update(dict(zip(own.tolist(), numbers.tolist())))
         assert got == plain
 
 
