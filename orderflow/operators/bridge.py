@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,20 +33,58 @@ SHIPMENT_COLUMNS = (
 def replenishment_events(retail: DataFrame) -> DataFrame:
     """One event per month, store and product.
 
-    Category and region change from row to row, so the event takes the most
-    frequent value, the smallest one on a tie.
+    Category and region change from row to row, so the event takes the most frequent value,
+    the smallest one on a tie. Rows are first added up by event, category and region; modes
+    and measures come from these sums. Each step combines on the map side, and none keeps
+    a table of values for a group in memory.
     """
-    return (
+    sums = (
         with_keys(retail, *EVENT_KEY)
-        .groupBy(*EVENT_KEY)
+        .groupBy(*EVENT_KEY, "category", "region")
         .agg(
-            F.mode("category", True).alias("category"),
-            F.mode("region", True).alias("region"),
-            total("units_ordered").alias("units_ordered"),
+            F.count(F.lit(1)).alias("n"),
+            F.sum("units_ordered").alias("units_ordered"),
             F.max("stockout_occurred").alias("stockout_occurred"),
             F.max("stockout_risk").alias("stockout_risk"),
-            F.avg("forecast_ape").alias("forecast_ape"),
+            F.sum("forecast_ape").alias("ape"),
+            F.count("forecast_ape").alias("ape_rows"),
+        )
+    )
+    attributes = ("category", "region")
+    # one row for each attribute of a sum; the measures go with the first
+    cells = [
+        F.struct(
+            F.lit(name).alias("attribute"),
+            F.col(name).alias("value"),
+            *[(F.col(c) if i == 0 else F.lit(None)).alias(c) for c in sums.columns if c not in (*EVENT_KEY, *attributes, "n")],
+            F.col("n"),
         )
+        for i, name in enumerate(attributes)
+    ]
+    counted = (
+        sums.select(*EVENT_KEY, F.inline(F.array(*cells)))
+        .groupBy(*EVENT_KEY, "attribute", "value")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("units_ordered").alias("units_ordered"),
+            F.max("stockout_occurred").alias("stockout_occurred"),
+            F.max("stockout_risk").alias("stockout_risk"),
+            F.sum("ape").alias("ape"),
+            F.sum("ape_rows").alias("ape_rows"),
+        )
+    )
+
+    def most_frequent(name: str) -> Column:
+        known = (F.col("attribute") == name) & F.col("value").isNotNull()
+        return F.min(F.when(known, F.struct(-F.col("n"), "value")))["value"].alias(name)
+
+    return counted.groupBy(*EVENT_KEY).agg(
+        most_frequent("category"),
+        most_frequent("region"),
+        total("units_ordered").alias("units_ordered"),
+        F.max("stockout_occurred").alias("stockout_occurred"),
+        F.max("stockout_risk").alias("stockout_risk"),
+        F.try_divide(F.sum("ape"), F.sum("ape_rows")).alias("forecast_ape"),
     )
 
 

@@ -589,6 +589,18 @@ def g12_kpi_cards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=4)
+def _dashboard(app: str, sf: str) -> report.Dashboard:
+    spark = SparkSession.active()
+    rows = retail_rows(spark, sf), shipments(spark, sf), paired(spark, sf)
+    return report.Dashboard.of(FILTERS, *rows)
+
+
+def _on_dashboard(panel: Callable[[report.Dashboard], DataFrame]) -> Query:
+    """A card row or panel of the selection, from one pass for all of them."""
+    return lambda spark, sf: rounded(panel(_dashboard(spark.sparkContext.applicationId, sf)))
+
+
 def g21_headline_rates(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.headline_rates(shipments(spark, sf), paired(spark, sf)))
 
@@ -807,6 +819,15 @@ QUERIES: dict[str, Query] = {
     "g17_delay_causes": _panel(report.delay_causes, shipments, FILTERS.logistics),
     "g18_truck_table": _panel(report.truck_table, shipments, FILTERS.logistics),
     "g19_monthly_on_time": _panel(report.monthly_on_time, shipments, FILTERS.logistics),
+    "g12_dashboard_cards": _on_dashboard(report.Dashboard.cards),
+    "g13_dashboard_revenue": _on_dashboard(report.Dashboard.revenue_by_category),
+    "g14_dashboard_monthly_revenue": _on_dashboard(report.Dashboard.monthly_revenue),
+    "g15_dashboard_stockout": _on_dashboard(report.Dashboard.stockout_by_category),
+    "g16_dashboard_on_time": _on_dashboard(report.Dashboard.on_time_by_traffic),
+    "g17_dashboard_delay_causes": _on_dashboard(report.Dashboard.delay_causes),
+    "g18_dashboard_trucks": _on_dashboard(report.Dashboard.truck_table),
+    "g19_dashboard_monthly_on_time": _on_dashboard(report.Dashboard.monthly_on_time),
+    "g20_dashboard_rates": _on_dashboard(report.Dashboard.rate_components),
     "g20_rate_components": _panel(report.rate_components, paired, FILTERS.by_category),
     "g21_headline_rates": g21_headline_rates,
     "g22_filtered_promo": _stored_picked("retail_promo_lift"),

@@ -747,3 +747,19 @@ ORACLE |= {
         "perfect_order_by_category": "g11_perfect_order_by_category",
     }.items()
 }
+
+#: Panels of one pass over the rows give what single panels give.
+ORACLE |= {
+    panel: ORACLE[key]
+    for panel, key in {
+        "g12_dashboard_cards": "g12_kpi_cards",
+        "g13_dashboard_revenue": "g13_revenue_by_category",
+        "g14_dashboard_monthly_revenue": "g14_monthly_revenue",
+        "g15_dashboard_stockout": "g15_stockout_by_category",
+        "g16_dashboard_on_time": "g16_on_time_by_traffic",
+        "g17_dashboard_delay_causes": "g17_delay_causes",
+        "g18_dashboard_trucks": "g18_truck_table",
+        "g19_dashboard_monthly_on_time": "g19_monthly_on_time",
+        "g20_dashboard_rates": "g20_rate_components",
+    }.items()
+}

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from orderflow.functions.expr import flag, key_hash, percent, total, with_keys
 from orderflow.operators.kpis import delay_reason_share
 from orderflow.operators.bridge import SEED
+from orderflow.session import stage
 from orderflow.sources.schemas import DETAIL_COLUMNS
 
 DETAIL_ROWS = 200
@@ -113,10 +114,11 @@ def headline_rates(logistics: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def rate_components(bridge: DataFrame) -> DataFrame:
+def rate_components(bridge: DataFrame, *more: Column) -> DataFrame:
     return bridge.agg(
         percent(F.avg(flag(F.col("stockout_occurred") == 0))).alias("stockout_free_pct"),
         percent(F.avg("delivered_on_time")).alias("on_time_pct"),
+        *more,
     )
 
 
@@ -171,6 +173,137 @@ def monthly_on_time(logistics: DataFrame) -> DataFrame:
     return _by(logistics, "month", F.avg("on_time_flag").alias("on_time_rate")).orderBy("month")
 
 
+# --- all panels of a selection in one pass ------------------------------------------------
+
+#: Group keys of the panels of each table; a panel is named after its key.
+RETAIL_PANELS = ("category", "month")
+LOGISTICS_PANELS = ("traffic_status", "logistics_delay_reason", "asset_id", "month")
+WHOLE = "whole"
+
+
+def _panel_rows(df: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
+    """(panel, key, measures): one group for each value of each key, and one of all rows.
+
+    Grouping sets read the rows once and add them up in parts before the shuffle, so what is
+    shuffled is as long as the panels.
+    """
+    grouped = df.groupingSets([[], *[[k] for k in keys]], *keys).agg(
+        F.grouping_id().alias("set"), *measures
+    )
+    every = (1 << len(keys)) - 1
+    panel, key = F.when(F.col("set") == every, F.lit(WHOLE)), F.lit(None).cast("string")
+    for i, name in enumerate(keys):
+        own = F.col("set") == every - (1 << (len(keys) - 1 - i))
+        panel, key = panel.when(own, F.lit(name)), F.when(own, F.col(name)).otherwise(key)
+    return (
+        grouped.withColumns({"panel": panel, "key": key})
+        .where((F.col("panel") == WHOLE) | F.col("key").isNotNull())
+        .drop("set", *keys)
+    )
+
+
+@dataclass(frozen=True)
+class Dashboard:
+    """All cards and panels of one selection; each of the three tables is read once.
+
+    The rows of the panels are staged, so a panel only picks its rows from a small table.
+    """
+
+    retail: DataFrame
+    logistics: DataFrame
+    bridge: DataFrame
+
+    @classmethod
+    def of(cls, pick: FilterSpec, retail: DataFrame, logistics: DataFrame, bridge: DataFrame):
+        delayed = F.count_if(F.col("logistics_delay") == 1).alias("delays")
+        return cls(
+            stage(
+                _panel_rows(
+                    pick.retail(retail),
+                    RETAIL_PANELS,
+                    [
+                        total("revenue").alias("revenue"),
+                        total("units_sold").alias("units_sold"),
+                        F.avg("stockout_occurred").alias("stockout_rate"),
+                    ],
+                ),
+                "retail-panels",
+            ),
+            stage(
+                _panel_rows(
+                    pick.logistics(logistics),
+                    LOGISTICS_PANELS,
+                    [
+                        F.count(F.lit(1)).alias("shipments"),
+                        F.avg("on_time_flag").alias("on_time_rate"),
+                        F.avg("waiting_time").alias("avg_waiting_time"),
+                        delayed,
+                    ],
+                ),
+                "logistics-panels",
+            ),
+            stage(
+                rate_components(
+                    pick.by_category(bridge), F.avg("perfect_order").alias("perfect_order_rate")
+                ),
+                "bridge-panels",
+            ),
+        )
+
+    def _panel(self, table: DataFrame, name: str, *columns: str) -> DataFrame:
+        return table.where(F.col("panel") == name).select(F.col("key").alias(name), *columns)
+
+    def cards(self) -> DataFrame:
+        retail, logistics = (t.where(F.col("panel") == WHOLE) for t in (self.retail, self.logistics))
+        return retail.agg(
+            F.coalesce(F.max("revenue"), F.lit(0.0)).alias("total_revenue"),
+            F.coalesce(F.max("units_sold"), F.lit(0.0)).alias("units_sold"),
+            F.max("stockout_rate").alias("stockout_rate"),
+        ).withColumns(
+            {
+                "on_time_rate": logistics.agg(F.max("on_time_rate")).scalar(),
+                "perfect_order_rate": self.bridge.select("perfect_order_rate").scalar(),
+            }
+        )
+
+    def revenue_by_category(self) -> DataFrame:
+        return self._panel(self.retail, "category", "revenue").orderBy(
+            F.desc_nulls_last("revenue"), "category"
+        )
+
+    def monthly_revenue(self) -> DataFrame:
+        return self._panel(self.retail, "month", "revenue").orderBy("month")
+
+    def stockout_by_category(self) -> DataFrame:
+        return self._panel(self.retail, "category", "stockout_rate")
+
+    def on_time_by_traffic(self) -> DataFrame:
+        return self._panel(self.logistics, "traffic_status", "on_time_rate")
+
+    def delay_causes(self) -> DataFrame:
+        causes = self._panel(self.logistics, "logistics_delay_reason", "delays").where("delays > 0")
+        all_delays = causes.agg(F.sum("delays")).scalar()
+        return (
+            causes.orderBy(F.desc("delays"), "logistics_delay_reason")
+            .select(
+                F.col("logistics_delay_reason").alias("delay_reason"),
+                percent(F.col("delays") / all_delays).alias("share_pct"),
+            )
+        )
+
+    def truck_table(self) -> DataFrame:
+        columns = ("shipments", "on_time_rate", "avg_waiting_time")
+        return self._panel(self.logistics, "asset_id", *columns).orderBy(
+            F.asc_nulls_last("on_time_rate"), "asset_id"
+        )
+
+    def monthly_on_time(self) -> DataFrame:
+        return self._panel(self.logistics, "month", "on_time_rate").orderBy("month")
+
+    def rate_components(self) -> DataFrame:
+        return self.bridge.select("stockout_free_pct", "on_time_pct")
+
+
 # --- detail -----------------------------------------------------------------------------
 
 
