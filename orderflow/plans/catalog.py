@@ -795,6 +795,13 @@ QUERIES: dict[str, Query] = {
     "c7_category_choices": _choices(fixtures.retail_source, "category"),
     "c7_truck_choices": _choices(fixtures.logistics_source, "asset_id"),
     "c8_date_span": c8_date_span,
+    "c7_stored_regions": lambda spark, sf: report.stored_choices(
+        spark, job_output(spark, sf), "region"),
+    "c7_stored_categories": lambda spark, sf: report.stored_choices(
+        spark, job_output(spark, sf), "category"),
+    "c7_stored_trucks": lambda spark, sf: report.stored_choices(
+        spark, job_output(spark, sf), "asset_id"),
+    "c8_stored_date_span": lambda spark, sf: report.stored_date_span(spark, job_output(spark, sf)),
     "c9_metric_lookup": c9_metric_lookup,
     "j1_bridge_pairing": j1_bridge_pairing,
     "j2_baseline_of_test_rows": j2_baseline_of_test_rows,

@@ -748,10 +748,15 @@ ORACLE |= {
     }.items()
 }
 
-#: Panels of one pass over the rows give what single panels give.
+#: What is stored beside the rows gives what the rows give, and panels of one pass over
+#: the rows give what single panels give.
 ORACLE |= {
     panel: ORACLE[key]
     for panel, key in {
+        "c7_stored_regions": "c7_region_choices",
+        "c7_stored_categories": "c7_category_choices",
+        "c7_stored_trucks": "c7_truck_choices",
+        "c8_stored_date_span": "c8_date_span",
         "g12_dashboard_cards": "g12_kpi_cards",
         "g13_dashboard_revenue": "g13_revenue_by_category",
         "g14_dashboard_monthly_revenue": "g14_monthly_revenue",

@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions.expr import flag, key_hash, percent, total, with_keys
 from orderflow.operators.kpis import delay_reason_share
 from orderflow.operators.bridge import SEED
 from orderflow.session import stage
+from orderflow.sources import tables
 from orderflow.sources.schemas import DETAIL_COLUMNS
 
 DETAIL_ROWS = 200
@@ -85,6 +86,30 @@ def date_span(retail: DataFrame) -> DataFrame:
     return retail.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
+#: Small stored tables that have every value of a filter column.
+CHOICE_TABLES = {
+    "category": "retail_category_summary",
+    "region": "retail_kpi_monthly",
+    "asset_id": "logistics_asset_kpi",
+}
+
+
+def stored_choices(spark: SparkSession, out_dir: str, column: str) -> DataFrame:
+    """As :func:`choices`, from a stored KPI table instead of the rows.
+
+    Regions come from the monthly table, which leaves out rows without category or month.
+    """
+    return choices(tables.read_table(spark, out_dir, CHOICE_TABLES[column]), column)
+
+
+def stored_date_span(spark: SparkSession, out_dir: str) -> DataFrame:
+    """As :func:`date_span`, from the first and the last stored month alone."""
+    months = tables.stored_months(spark, out_dir, "retail_cleaned")
+    ends = sorted({*months[:1], *months[-1:]})
+    retail = tables.read_table(spark, out_dir, "retail_cleaned")
+    return date_span(retail.where(F.col("month").isin(*ends)) if ends else retail.limit(0))
+
+
 def nothing_selected(retail: DataFrame, logistics: DataFrame) -> bool:
     """True when a filtered table has no row; reads no more than one row of each."""
     return retail.isEmpty() or logistics.isEmpty()

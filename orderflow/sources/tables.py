@@ -13,6 +13,14 @@ from orderflow.sources.schemas import DETAIL_COLUMNS, heading
 CSV = "csv"
 #: The two row-level tables are laid out by month, which report filters prune.
 PARTITIONED = {"retail_cleaned": "month", "logistics_cleaned": "month"}
+#: Rows of one month lie in the order of these columns, so that the statistics of row groups
+#: and pages let a filter on the first (or on the second, inside the first) skip most of them.
+CLUSTERED = {
+    "retail_cleaned": ("region", "category", "date"),
+    "logistics_cleaned": ("asset_id", "ts"),
+}
+#: Bytes of a row group of these tables: small enough to skip, large enough to scan.
+ROW_GROUP = 32 << 20
 #: Tables exported in the order of a column: sort column, largest first.
 SORTED_TABLES = {
     "retail_monthly_overall": ("month", False),
@@ -55,20 +63,23 @@ TABLES = (
 REPORT_TABLES = tuple(t for t in TABLES if t not in ("retail_kpi_daily", "retail_kpi_monthly"))
 
 
-def write_table(df: DataFrame, out_dir: str, name: str) -> None:
+def write_table(df: DataFrame, out_dir: str, name: str, row_group: int = ROW_GROUP) -> None:
     """Replace one Parquet table.
 
     Row-level tables are rebalanced by month before the write: the adaptive
     planner merges small months and splits large ones, so neither tiny files nor
-    one huge task per month result.
+    one huge task per month result. Inside a month's files rows are clustered.
     """
     month = PARTITIONED.get(name)
     if month is not None:
+        order = [c for c in CLUSTERED[name] if c in df.columns]
         # Static overwrite: months that a new run no longer has must go.
         (
             df.hint("rebalance", month)
+            .sortWithinPartitions(month, *order)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("parquet.block.size", row_group)
             .partitionBy(month)
             .parquet(f"{out_dir}/{name}")
         )
@@ -103,6 +114,14 @@ def read_report_tables(spark: SparkSession, out_dir: str) -> Mapping[str, DataFr
     return {name: spark.read.parquet(f"{out_dir}/{name}") for name in REPORT_TABLES}
 
 
+def stored_months(spark: SparkSession, out_dir: str, name: str) -> list[str]:
+    """The months of a row-level table, from the names of its folders; reads no row."""
+    folders = versions.Files(spark).names(versions.table_path(spark, out_dir, name))
+    key = f"{PARTITIONED[name]}="
+    months = [f.removeprefix(key) for f in folders if f.startswith(key)]
+    return sorted(m for m in months if m != "__HIVE_DEFAULT_PARTITION__")
+
+
 class ReportTables(Mapping):
     """The report's tables, with what it reads of the row-level ones kept in memory.
 
