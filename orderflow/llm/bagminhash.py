@@ -20,9 +20,13 @@ its largest component, the strays, are compared with all its nodes, inside tasks
 hold a bounded block of either, and only one link to each other component leaves a
 task. So the classes are those of all candidate pairs, without a row for each.
 
-Defined cases: texts of fewer than five words are one shingle; all texts without any
-word, null ones too, are one class; rows without doc_id take the class of their
-equals, or none; repeated rows and extra columns change nothing.
+Words are runs of letters and digits; in scripts that set no blanks between words
+(``UNSPACED``) each character is a word.
+
+Defined cases: texts of fewer than five words are one shingle; a text without any word is
+near to equal texts only, and null to empty ones; rows without doc_id take the class of
+their equals, or none; rows that repeat a doc_id have the class of their own text; extra
+columns change nothing.
 """
 
 from __future__ import annotations
@@ -33,10 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import attach, in_small_batches, kept, number_within
+from orderflow.llm.common import BROADCAST_ROWS, attach, in_small_batches, kept, number_within
 from orderflow.llm.components import components
 from orderflow.session import stage
 
@@ -50,7 +54,11 @@ STRAY_BLOCK, NODE_BLOCK = 256, 1024
 #: Shingles whose points are drawn at once.
 BATCH = 100_000
 KNOWN_WORDS = 100_000
+#: Thai, Lao, Myanmar, Khmer, kana, and Han characters.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 WORD = re.compile(r"\w+")
+WORD_OR_CHARACTER = re.compile(rf"[^\W{UNSPACED}]+|[{UNSPACED}]")
+HAS_UNSPACED = re.compile(f"[{UNSPACED}]")
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,9 +79,16 @@ class _Hashes(dict):
         return got
 
 
+def words_of(text: str | None) -> list[str]:
+    if not text:
+        return []
+    unspaced = not text.isascii() and HAS_UNSPACED.search(text)
+    return (WORD_OR_CHARACTER if unspaced else WORD).findall(text.lower())
+
+
 def shingles(text: str | None) -> np.ndarray:
     """A 64-bit hash of every shingle, in the order of the text."""
-    words = WORD.findall(text.lower()) if text else []
+    words = words_of(text)
     if not words:
         return np.zeros(0, np.uint64)
     known = kept("bags", _Hashes)
@@ -85,9 +100,20 @@ def shingles(text: str | None) -> np.ndarray:
     return total
 
 
+def digest_of(text: str | None, own: np.ndarray, counts: np.ndarray) -> bytes:
+    """Equal for equal bags; a text without words has that of its characters."""
+    if not len(own):
+        return xxhash.xxh3_128_digest(b"text" + (text or "").encode())
+    return xxhash.xxh3_128_digest(own.tobytes() + counts.astype(np.int64).tobytes())
+
+
 def elements(text: str | None) -> np.ndarray:
     """The bag as a set: the k-th copy of a shingle is an element of its own."""
-    own = np.sort(shingles(text))
+    return numbered(np.sort(shingles(text)))
+
+
+def numbered(own: np.ndarray) -> np.ndarray:
+    """An element for each of the sorted shingles ``own`` and its number among its equals."""
     first = np.concatenate([[True], own[1:] != own[:-1]])[: len(own)]
     at = np.flatnonzero(first)
     copy = np.arange(len(own)) - np.repeat(at, np.diff(np.append(at, len(own))))
@@ -153,7 +179,7 @@ def sign_texts(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, list[n
     waiting = 0
     for text, i in different.items():
         own, counts = np.unique(shingles(text), return_counts=True)
-        digests[i] = xxhash.xxh3_128_digest(own.tobytes() + counts.astype(np.int64).tobytes())
+        digests[i] = digest_of(text, own, counts)
         sizes[i] = counts.sum()
         if waiting + len(own) > BATCH:
             sign_held()
@@ -165,29 +191,44 @@ def sign_texts(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, list[n
     return [digests[i] for i in at], sizes[at], [bands[i] for i in at]
 
 
+def copy_of(text: str) -> Column:
+    """A digest of the text itself; null is empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+
+
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, digest, size, bands of every row."""
+    """doc_id, copy (digest of the text), digest (of its bag), size, bands of every row."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             digest, size, bands = sign_texts(frame["text"].tolist())
-            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "digest": digest,
-                                "size": size, "bands": bands})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "copy": frame["copy"].to_numpy(),
+                                "digest": digest, "size": size, "bands": bands})
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), copy_of(text).alias("copy"))
     return in_small_batches(own).mapInPandas(
-        run, f"doc_id {kind}, digest binary, size long, bands array<long>")
+        run, f"doc_id {kind}, copy binary, digest binary, size long, bands array<long>")
+
 
+def bags(texts: DataFrame) -> DataFrame:
+    """node, own: the bag of each text as a set of 64-bit elements.
 
-def bags(docs: DataFrame) -> DataFrame:
-    """node, own: the bag of each text as a set of 64-bit elements."""
+    ``texts`` has the nodes (digests) that are wanted with the texts under a doc_id that has
+    them; other texts under that doc_id give nothing.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"node": frame["node"].to_numpy(), "own": [
-                elements(t).view(np.int64) for t in frame["text"]]})
+            nodes, own = [], []
+            for node, text in zip(frame["node"], frame["text"]):
+                sorted_ = np.sort(shingles(text))
+                if digest_of(text, *np.unique(sorted_, return_counts=True)) == bytes(node):
+                    nodes.append(node)
+                    own.append(numbered(sorted_).view(np.int64))
+            if nodes:
+                yield pd.DataFrame({"node": nodes, "own": own})
 
-    kind = docs.schema["node"].dataType.simpleString()
-    return in_small_batches(docs).select("node", "text").mapInPandas(run, f"node {kind}, own array<long>")
+    return in_small_batches(texts).select("node", "text").mapInPandas(
+        run, "node binary, own array<long>").dropDuplicates(["node"])
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -214,21 +255,23 @@ def _sizes_fit(a: str, b: str, similarity: float):
     return F.least(a, b) >= similarity * F.greatest(a, b)
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-            similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id of every row; the class id is the smallest doc_id of the class."""
+def classified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+               similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, copy, root, class_id of every row; the class id is the smallest doc_id of the class.
+
+    Nodes are bags, by their digests, whatever the doc_ids of their rows.
+    """
     rows = stage(signed(docs, doc_id, text), "bag-signatures")
     nodes = stage(
-        rows.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("size").alias("size"),
-                                   F.first("bands").alias("bands")),
+        rows.groupBy(F.col("digest").alias("node")).agg(
+            F.min("doc_id").alias("least"), F.first("size").alias("size"),
+            F.first("bands").alias("bands")),
         "bag-nodes",
     )
-    members = stage(_members(nodes.where("node IS NOT NULL")), "bag-members")
-    candidates = members.select("node").distinct()
-    texts = docs.select(F.col(doc_id).alias("node"), F.col(text).alias("text"))
-    own = stage(
-        bags(attach(texts, stage(candidates, "bag-candidates"), ["node"], "inner"))
-        .dropDuplicates(["node"]), "bags")
+    members = stage(_members(nodes.where("least IS NOT NULL")), "bag-members")
+    candidates = members.select("node").distinct().join(nodes.select("node", "least"), "node")
+    texts = docs.select(F.col(doc_id).alias("least"), F.col(text).alias("text"))
+    own = stage(bags(attach(texts, stage(candidates, "bag-candidates"), ["least"], "inner")), "bags")
 
     first = members.where("rank = 0").select("bucket", F.col("node").alias("first"),
                                              F.col("size").alias("first_size"))
@@ -246,6 +289,43 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return _classes_of(rows, nodes, links)
 
 
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+            similarity: float = SIMILARITY) -> DataFrame:
+    """doc_id, class_id of every row."""
+    return classified(docs, doc_id, text, similarity).select("doc_id", "class_id")
+
+
+def one_of_each_class(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                      similarity: float = SIMILARITY) -> DataFrame:
+    """One text of each class: its smallest doc_id's, and of texts under that one the first digest's.
+
+    Rows without doc_id stay, and rows that repeat both doc_id and text stay or go together.
+    """
+    found = stage(classified(docs, doc_id, text, similarity).where("doc_id IS NOT NULL"), "bag-classes")
+    texts = found.select("doc_id", "root", "class_id", "copy").distinct()
+    heads = texts.where("doc_id = class_id").groupBy("root").agg(F.min("copy").alias("head"))
+    gone = stage(
+        texts.join(heads, "root").where("doc_id <> class_id OR copy <> head").select("doc_id", "copy"),
+        "bag-gone")
+    mark = "_" * (1 + max(map(len, docs.columns)))  # no column of docs has this name
+    side = gone.toDF(f"{mark}i", f"{mark}c")
+    if gone.count() <= BROADCAST_ROWS:
+        side = F.broadcast(side)
+    same = (F.col(doc_id) == F.col(f"{mark}i")) & (copy_of(text) == F.col(f"{mark}c"))
+    return docs.join(side, same, "left_anti")
+
+
+def _classes_of(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
+    rooted = stage(
+        nodes.select("node", "least").join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node")), "bag-rooted")
+    ids = rooted.groupBy("root").agg(F.min("least").alias("class_id"))
+    placed = rooted.join(ids, "root").select(F.col("node").alias("digest"), "root", "class_id")
+    return rows.select("doc_id", "copy", "digest").join(placed, "digest").select(
+        "doc_id", "copy", "root", "class_id")
+
+
 def link_blocks(strays: pd.DataFrame, nodes: pd.DataFrame, similarity: float) -> pd.DataFrame:
     """One link of each stray to each other root, among two blocks of a bucket."""
     sizes = nodes["own"].map(len).to_numpy()
@@ -306,10 +386,3 @@ def stray_links(members: DataFrame, links: DataFrame, own: DataFrame, similarity
 
     found = strays.groupBy(*key).cogroup(nodes.groupBy(*key)).applyInPandas(compare, f"a {kind}, b {kind}")
     return found.distinct()
-
-
-def _classes_of(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    placed = nodes.select("digest", "node").join(roots, "node", "left").select(
-        "digest", F.coalesce("root", "node").alias("class_id"))
-    return rows.select("doc_id", "digest").join(placed, "digest").select("doc_id", "class_id")

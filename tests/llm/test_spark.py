@@ -233,6 +233,42 @@ def test_classes_of_odd_rows(spark):
     assert bagminhash.classes(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_wordless_texts_are_near_to_equal_texts_only(spark):
+    texts = ["🙂🙂", "!!!", "---- ***", "!!!", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 1, 4: 4, 5: 4}
+    left = bagminhash.one_of_each_class(docs).collect()
+    assert sorted(r["doc_id"] for r in left) == [0, 1, 2, 4]
+
+
+def test_unspaced_scripts_are_compared_by_characters(spark):
+    rng = random.Random(12)
+    han = [chr(0x4E00 + i) for i in range(2000)]
+    body = [rng.choice(han) for _ in range(400)]
+    near, far = list(body), [rng.choice(han) for _ in range(400)]
+    near[200] = "x"
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(300))
+    texts = ["".join(body), "".join(near), "".join(far), thai, thai[:150] + "ก" + thai[151:], "eng" + thai[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.classes(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 5}
+
+
+def test_rows_under_one_doc_id_have_the_class_of_their_own_text(spark):
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(500)]
+    a, b, c = (" ".join(rng.choice(words) for _ in range(60)) for _ in "abc")
+    rows = [(1, a), (2, b), (2, a + " more"), (2, c), (2, c), (3, c), (4, b), (4, "own words of four"), (None, a), (5, a)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, copy string")
+    got = bagminhash.classified(docs).collect()
+    assert len(got) == len(rows) and len({r["root"] for r in got}) == 4
+    left = bagminhash.one_of_each_class(docs)
+    assert left.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(
+        map(str, [(1, a), (2, b), (2, c), (2, c), (4, "own words of four"), (None, a)]))
+
+
 def test_components_of_chains(spark):
     rng = random.Random(10)
     links = [(i, i + 1) for i in range(40) if i != 20] + [(100, b) for b in range(101, 120)]
