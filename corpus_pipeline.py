@@ -1,8 +1,10 @@
 """Corpus pipeline: from ``documents`` to token ids in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before has
-kept. Rows without doc_id are never dropped by near-dedup, and rows that repeat one
-doc_id stay or go together; ``n_chars`` follows the text.
+kept. Null texts count as empty, and empty ones are one class of near-duplicates; rows
+without doc_id are never dropped by near-dedup; rows that repeat one doc_id are judged by
+their own texts, and those that repeat the text too stay or go together; ``n_chars``
+follows the text. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import bagminhash, decontaminate, line_dedup, toxicity
-from orderflow.llm.common import BROADCAST_ROWS, documents
+from orderflow.llm.common import documents
 from orderflow.llm.queries import bpe_digests
 from orderflow.session import stage
 
@@ -31,11 +33,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates."""
-    found = bagminhash.classes(docs)
-    copies = stage(found.where("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
-    side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    return docs.join(side, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each class of near-duplicates, the one with the smallest id."""
+    return bagminhash.one_of_each_class(docs).select(*COLUMNS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
