@@ -202,8 +202,9 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         return pd.DataFrame({"score": scores, "offending": located})
 
     others = [c for c in docs.columns if c not in ("score", "offending")]
-    scored = in_small_batches(docs).select(*others, judged(text).alias("_judged"))
-    return scored.select(*others, "_judged.*")
+    mark = "_" * (1 + max(map(len, docs.columns)))  # no column of docs has this name
+    scored = in_small_batches(docs).select(*others, judged(text).alias(mark))
+    return scored.select(*others, f"{mark}.*")
 
 
 def held_out(doc_id: str = "doc_id"):

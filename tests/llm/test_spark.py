@@ -176,6 +176,13 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(docs, none).where("score = 0").count() == 8
 
 
+def test_toxicity_beside_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "words", "x", "y", "z")], "doc_id long, text string, _judged string, _ string, offending string")
+    got = toxicity.score(docs, toxicity.Model((), (), 0.0, 0.25))
+    assert got.columns == ["doc_id", "text", "_judged", "_", "score", "offending"]
+    assert got.first()["score"] == 0.25 and got.first()["_judged"] == "x"
+
+
 def test_training_sample_is_bounded(spark):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
     assert 800 < toxicity._sample(rows, 1000).count() < 1200
