@@ -67,11 +67,12 @@ def likeness(a: str, b: str) -> Column:
 
 def differing(a: str, b: str) -> Column:
     """Leaves of fingerprint ``a`` in sections that ``b`` lacks, where ``b`` lacks the leaf too."""
+    section, leaf = "'[0-9a-f]{32}[(][^)]*[)]'", "'[0-9a-f]{16}(?=[,)])'"
     return F.expr(
         f"""array_except(flatten(transform(
-              filter(regexp_extract_all({a}, '[0-9a-f]{{32}}[(][^)]*[)]', 0), s -> instr({b}, s) = 0),
-              s -> regexp_extract_all(s, '[0-9a-f]{{16}}(?=[,)])', 0))),
-            regexp_extract_all({b}, '[0-9a-f]{{16}}(?=[,)])', 0))"""
+              array_except(regexp_extract_all({a}, {section}, 0), regexp_extract_all({b}, {section}, 0)),
+              s -> regexp_extract_all(s, {leaf}, 0))),
+            regexp_extract_all({b}, {leaf}, 0))"""
     )
 
 
@@ -123,7 +124,10 @@ def with_next(docs: DataFrame, bits: int = GROUP_BITS) -> DataFrame:
 
 
 def compare_with_next(docs: DataFrame, bits: int = GROUP_BITS) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, gone.
+
+    ``gone`` locates the edit: the leaves that only the text's tree has, sorted.
+    """
     half = F.expr("n_chars div 2")
     return (
         with_next(docs, bits)
@@ -139,4 +143,6 @@ def compare_with_next(docs: DataFrame, bits: int = GROUP_BITS) -> DataFrame:
                 fingerprint("changed").alias("edited_fingerprint"),
                 likeness("own", "changed").alias("near_edited"),
                 likeness("own", "following").alias("near_next"))
+        .withColumn("gone", F.array_join(
+            F.array_sort(differing("fingerprint", "edited_fingerprint")), ","))
     )

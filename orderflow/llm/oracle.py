@@ -129,7 +129,9 @@ sections AS (
 SELECT doc_id, n_chars, sha256(edited) AS edited_sha256,
        {_PRINT.format(s="own_sections")} AS fingerprint, {_PRINT.format(s="changed_sections")} AS edited_fingerprint,
        {_LIKE.format(a="own", b="changed")} AS near_edited,
-       {_LIKE.format(a="own", b="following")} AS near_next
+       {_LIKE.format(a="own", b="following")} AS near_next,
+       array_to_string(list_sort(list_distinct(
+         list_filter(own, lambda x: NOT list_contains(changed, x)))), ',') AS gone
 FROM sections
 """
 
