@@ -20,16 +20,17 @@ repeated results; other columns are kept, but for those with the names of result
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from orderflow.llm.common import in_small_batches, kept
 
@@ -147,8 +148,12 @@ def _table(made: str) -> list[bytes]:
 
 
 def _loaded(made: str):
-    """What :func:`_coder` gives, and the table of bytes."""
-    return kept(("bpe", made), lambda: (*_coder(made), _table(made)))
+    """What :func:`_coder` gives, the table of bytes, and their numbers."""
+    def load():
+        table = _table(made)
+        return (*_coder(made), table, np.array(list(map(len, table)), np.int64))
+
+    return kept(("bpe", made), load)
 
 
 def parts_of(text: str, most: int = PART) -> Iterator[str]:
@@ -172,7 +177,7 @@ def _slices(texts: list[str], size: int = SLICE) -> Iterator[tuple[int, int]]:
 
 def encode_texts(texts: list[str], made: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers."""
-    tokenizer, known, word, odd, _ = _loaded(made)
+    tokenizer, known, word, odd, *_ = _loaded(made)
 
     def ids(part: str) -> bytes:
         if not (part.isascii() or odd.isdisjoint(part)):
@@ -183,22 +188,36 @@ def encode_texts(texts: list[str], made: str) -> list[bytes]:
 
 
 def decode_ids(ids: bytes, made: str) -> bytes:
-    table = _loaded(made)[-1]
+    table = _loaded(made)[-2]
     return b"".join(map(table.__getitem__, array("I", ids)))
 
 
 def char_spans(ids: bytes, made: str) -> list[tuple[int, int]]:
     """First character and end of every token; a split character is in each part's span."""
-    table = _loaded(made)[-1]
-    pieces = [table[i] for i in array("I", ids)]
-    data = np.frombuffer(b"".join(pieces), np.uint8)
-    # characters that have begun up to each byte
-    begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
-    starts = ends - np.array([len(p) for p in pieces], np.int64)
+    (spans,) = spans_of([ids], made)
+    return list(map(tuple, spans.tolist()))
+
+
+def spans_of(ids: list[bytes], made: str) -> list[np.ndarray]:
+    """For each text, a row (first character, end) for every token."""
+    table, lengths = _loaded(made)[-2:]
+    numbers = np.frombuffer(b"".join(ids), np.uint32)
+    data = np.frombuffer(b"".join(map(table.__getitem__, numbers.tolist())), np.uint8)
     inside = np.append((data & 0xC0) == 0x80, False)
-    first = begun[starts] - inside[starts]
-    return list(zip(first.tolist(), begun[ends].tolist()))
+    # characters that have begun before each byte
+    begun = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(~inside[:-1], out=begun[1:], dtype=np.int32)
+    sizes = lengths[numbers]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    spans = np.stack([begun[starts] - inside[starts], begun[ends]], 1).astype(np.int32)
+    out, at, byte = [], 0, 0
+    for own in ids:
+        upto = at + len(own) // 4
+        end = int(ends[upto - 1]) if upto else 0
+        out.append(spans[at:upto] - begun[byte])
+        at, byte = upto, end
+    return out
 
 
 def _with(df: DataFrame, fields: list[StructField]) -> tuple[list[str], StructType]:
@@ -210,28 +229,55 @@ def _shared(df: DataFrame, made: str):
     return df.sparkSession.sparkContext.broadcast(made)
 
 
-def encode(df: DataFrame, made: str, text: str = "text", decoded: bool = False) -> DataFrame:
+def encode(df: DataFrame, made: str, text: str = "text", decoded: bool = False,
+           spans: bool = False) -> DataFrame:
     """``df`` with n_tokens and ids (packed little-endian unsigned 32-bit integers).
 
-    ``decoded`` also decodes the ids in the same task, as :func:`decode` does apart.
+    ``decoded`` also decodes the ids in the same task, as :func:`decode` does apart;
+    ``spans`` adds the first character and the end of every token, packed like the ids.
     """
     fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
-    others, schema = _with(df, fields + [StructField("decoded", BinaryType())] * decoded)
+    fields += [StructField("decoded", BinaryType())] * decoded + [StructField("spans", BinaryType())] * spans
+
+    def results(texts: list[str], made: str) -> list[pa.Array]:
+        ids = encode_texts(texts, made)
+        out = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+        if decoded:
+            out.append(pa.array([decode_ids(x, made) for x in ids], pa.binary()))
+        if spans:
+            out.append(pa.array([x.tobytes() for x in spans_of(ids, made)], pa.binary()))
+        return out
+
+    return _in_slices(df, made, text, fields, results)
+
+
+def digest(df: DataFrame, made: str, text: str = "text") -> DataFrame:
+    """``df`` with n_tokens and the SHA-256 of ids, of decoded bytes and of spans, made in the task."""
+    names = ("ids_sha256", "decoded_sha256", "spans_sha256")
+    fields = [StructField("n_tokens", LongType()), *(StructField(n, StringType()) for n in names)]
+
+    def results(texts: list[str], made: str) -> list[pa.Array]:
+        ids = encode_texts(texts, made)
+        shown = (ids, (decode_ids(x, made) for x in ids), (x.tobytes() for x in spans_of(ids, made)))
+        return [pa.array([len(x) // 4 for x in ids], pa.int64()),
+                *(pa.array([hashlib.sha256(x).hexdigest() for x in own], pa.string()) for own in shown)]
+
+    return _in_slices(df, made, text, fields, results)
+
+
+def _in_slices(df: DataFrame, made: str, text: str, fields: list[StructField],
+               results: Callable[[list[str], str], list[pa.Array]]) -> DataFrame:
+    """``df`` with the columns ``fields`` that ``results`` makes of slices of its texts."""
+    others, schema = _with(df, fields)
     shared = _shared(df, made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or "" for x in batch.column(text).to_pylist()]
             for a, b in _slices(texts):
-                ids = encode_texts(texts[a:b], shared.value)
                 part = batch.slice(a, b - a)
-                made_columns = [pa.array([len(x) // 4 for x in ids], pa.int64()),
-                                pa.array(ids, pa.binary())]
-                if decoded:
-                    back = [decode_ids(x, shared.value) for x in ids]
-                    made_columns.append(pa.array(back, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in others), *made_columns], schema.names)
+                    [*(part.column(c) for c in others), *results(texts[a:b], shared.value)], schema.names)
 
     return in_small_batches(df).mapInArrow(run, schema)
 

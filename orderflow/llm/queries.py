@@ -79,9 +79,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     made = bpe.tokenizer_json(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return bpe.encode(docs.select("doc_id", "text"), made, decoded=True).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digest(docs.select("doc_id", "text"), made).drop("text")
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

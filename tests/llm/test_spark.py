@@ -422,6 +422,28 @@ def test_chats_keep_maximal_conversations(spark):
 # 10 byte-level BPE
 
 
+def test_bpe_query_equals_the_rank_library(spark, sf_dir, texts):
+    import hashlib
+    import struct
+
+    import tiktoken
+
+    rank = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks=bpe.read_ranks(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    rows = QUERIES["op10_byte_bpe"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = rank.encode_ordinary(texts[r["doc_id"]] or "")
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((texts[r["doc_id"]] or "").encode()).hexdigest()
+    (one,) = bpe.encode(spark.createDataFrame([("na\u00efve \U0001f642 Text",)], "text string"), bpe.tokenizer_json(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), spans=True).collect()
+    ids = rank.encode_ordinary("na\u00efve \U0001f642 Text")
+    spans = struct.unpack(f"<{2 * len(ids)}i", one["spans"])
+    assert list(spans[::2]) == rank.decode_with_offsets(ids)[1] and spans[-1] == len("na\u00efve \U0001f642 Text")
+
+
 def test_bpe_of_odd_rows(spark, coder):
     docs = odd_docs(spark, [(7, "x\u0000y \U0001fe5f", "en", "a")])
     rows = bpe.decode(bpe.encode(docs, coder), coder).collect()
