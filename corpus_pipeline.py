@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderflow.llm import bagminhash, decontaminate, line_dedup, toxicity
 from orderflow.llm.common import documents
 from orderflow.llm.queries import bpe_digests
-from orderflow.session import stage
+from orderflow.session import delete, staged_path, staging_area
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -61,7 +61,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The rows of the last stage. On disk stays only what it reads, the documents before it."""
+    docs, before = documents(spark, sf_dir), None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        path = staged_path(spark, f"pipeline-{name}")
+        with staging_area(spark):  # what a stage stages for itself goes when it is written
+            made = step(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before is not None:
+            delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

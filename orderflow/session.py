@@ -37,6 +37,11 @@ def shared_dir(spark: SparkSession) -> str:
 _areas: list[list[str]] = []
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def staging_area(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are deleted at the end; nothing may read them afterwards."""
@@ -44,10 +49,8 @@ def staging_area(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in _areas.pop():
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+            delete(spark, path)
 
 
 def staged_path(spark: SparkSession, name: str) -> str:
