@@ -468,6 +468,16 @@ def test_stages_of_odd_rows(spark, sf_dir):
         assert step(spark, empty, sf_dir).count() == 0, name
 
 
+def test_pipeline_leaves_only_what_its_last_stage_reads(spark, sf_dir):
+    from orderflow.session import shared_dir
+    from orderflow.sources.versions import Files
+
+    before = set(Files(spark).names(shared_dir(spark)))
+    rows = corpus_pipeline.run(spark, sf_dir).count()
+    left = set(Files(spark).names(shared_dir(spark))) - before
+    assert rows and [x.rsplit("-", 1)[0] for x in left] == ["pipeline-decontamination"]
+
+
 def test_pipeline_equals_brute_force(spark, sf_dir, texts, con):
     kept = {r["doc_id"] for r in QUERIES["op3_toxicity"](spark, sf_dir).where("predicted = 0").collect()}
     con.execute(f"CREATE OR REPLACE TEMP TABLE kept AS SELECT unnest({sorted(kept)}) AS doc_id")
