@@ -61,6 +61,8 @@ BLOCK = 10_000
 #: Bytes of text that are walked at once.
 SLICE = 1_000_000
 FILTER_BITS = 20
+#: Trigrams are counted in 2**CELL_BITS cells.
+CELL_BITS = 12
 LEAK = "array<struct<item_id:long,start:long,stop:long,distance:int>>"
 BLANK = 32
 
@@ -271,9 +273,11 @@ def best_place(pattern: bytes, text: bytes, most: int) -> tuple[int, int, int] |
     return distance, stop - back, stop
 
 
-def trigrams(data: np.ndarray) -> np.ndarray:
-    wide = data.astype(np.int32)
-    return wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16
+def trigram_cells(data: np.ndarray) -> np.ndarray:
+    """The cell of the trigram at every place; different trigrams may share one of 2**CELL_BITS."""
+    wide = data.astype(np.uint32)
+    code = wide[:-2] | wide[1:-1] << np.uint32(8) | wide[2:] << np.uint32(16)
+    return (code * np.uint32(2654435761) >> np.uint32(32 - CELL_BITS)).astype(np.int32)
 
 
 class Searcher:
@@ -290,7 +294,7 @@ class Searcher:
             if len(body) >= LEAST:
                 self.items[number], self.ids[number] = body.tobytes(), item_id
                 bodies.append((number, body))
-                self.trigrams[number] = np.unique(trigrams(body), return_counts=True)
+                self.trigrams[number] = np.unique(trigram_cells(body), return_counts=True)
         self.tables = [t for t in (
             _table([x for x in bodies if len(x[1]) >= SHORT], STEPS, BITS),
             _table([x for x in bodies if len(x[1]) < SHORT], SHORT_STEPS, SHORT_BITS),
@@ -325,13 +329,14 @@ class Searcher:
                                        np.repeat(starts[at], many) - table.offset[r][flat]], 1))
         return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
 
-    def may_hold(self, item: int, data: np.ndarray, most: int) -> bool:
-        """False only if more than ``most`` edits are needed, by the count of trigrams."""
+    def may_hold(self, item: int, cells: np.ndarray, most: int) -> bool:
+        """False only if more than ``most`` edits are needed, by the count of trigrams.
+
+        Trigrams that share a cell can only raise the count, so no true place is refused.
+        """
         own, counts = self.trigrams[item]
-        there, times = np.unique(trigrams(data), return_counts=True)
-        at = np.minimum(np.searchsorted(there, own), len(there) - 1)
-        shared = np.minimum(counts, times[at])[there[at] == own].sum() if len(there) else 0
-        return shared >= counts.sum() - 3 * most
+        there = np.bincount(cells, minlength=1 << CELL_BITS)[own]
+        return np.minimum(counts, there).sum() >= counts.sum() - 3 * most
 
     def search(self, data: np.ndarray, bounds: np.ndarray) -> list[list[dict]]:
         """Leaks of each text; text i is data[bounds[i]:bounds[i + 1]]."""
@@ -350,6 +355,7 @@ class Searcher:
         placed = [np.searchsorted(edges, np.clip(middle + side * rows[:, 2], 0, len(own) - 1), "right") - 1
                   for side in (-1, 0, 1)]
         rows = np.unique(np.concatenate([np.column_stack([doc, rows]) for doc in placed]), axis=0)
+        cells = trigram_cells(own)  # once for all candidates of the slice
         tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
         places: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for d, i, start, width in rows.tolist():
@@ -366,8 +372,8 @@ class Searcher:
                 low, high = parts.pop()
                 if high - low < len(body) - most:
                     continue
-                region = own[low:high]
-                got = self.may_hold(i, region, most) and best_place(body, region.tobytes(), most)
+                got = self.may_hold(i, cells[low : high - 2], most) and best_place(
+                    body, own[low:high].tobytes(), most)
                 if not got:
                     continue
                 distance, a, b = got[0], low + got[1], low + got[2]
