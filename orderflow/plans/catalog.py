@@ -61,6 +61,7 @@ FILTERS = FilterSpec(
     trucks=("Truck_1", "Truck_3", "Truck_8"),
 )
 TREE = forest.ForestSize(trees=1, depth=2, exhaustive=True)
+STUMP = forest.ForestSize(trees=1, depth=1, exhaustive=True)
 #: Price differs on nearly every test row, so it has more values than Spark has bins.
 TREE_NUMERIC = tuple(c for c in demand.NUMERIC if c != "price")
 NO_MATCH = FilterSpec(categories=("NO SUCH CATEGORY",), trucks=("NO SUCH TRUCK",))
@@ -139,26 +140,28 @@ def delay_result(spark: SparkSession, sf: str) -> delay.DelayResult:
 
 
 @lru_cache(maxsize=4)
-def _demand_tree(app: str, sf: str) -> demand.DemandResult:
+def _demand_tree(app: str, sf: str, size: forest.ForestSize) -> demand.DemandResult:
     spark = SparkSession.active()
     return demand.train_demand_model(
-        retail_cleaned(spark, sf), KEY, size=TREE, numeric=TREE_NUMERIC
+        retail_cleaned(spark, sf), KEY, size=size, numeric=TREE_NUMERIC
     )
 
 
 @lru_cache(maxsize=4)
-def _delay_tree(app: str, sf: str) -> delay.DelayResult:
+def _delay_tree(app: str, sf: str, size: forest.ForestSize) -> delay.DelayResult:
     spark = SparkSession.active()
-    return delay.train_delay_model(shipments(spark, sf), "shipment_id", size=TREE)
+    return delay.train_delay_model(shipments(spark, sf), "shipment_id", size=size)
 
 
-def demand_tree(spark: SparkSession, sf: str) -> demand.DemandResult:
+def demand_tree(
+    spark: SparkSession, sf: str, size: forest.ForestSize = TREE
+) -> demand.DemandResult:
     """One exhaustive tree, which SQL can grow too."""
-    return _demand_tree(spark.sparkContext.applicationId, sf)
+    return _demand_tree(spark.sparkContext.applicationId, sf, size)
 
 
-def delay_tree(spark: SparkSession, sf: str) -> delay.DelayResult:
-    return _delay_tree(spark.sparkContext.applicationId, sf)
+def delay_tree(spark: SparkSession, sf: str, size: forest.ForestSize = TREE) -> delay.DelayResult:
+    return _delay_tree(spark.sparkContext.applicationId, sf, size)
 
 
 @lru_cache(maxsize=4)
@@ -882,6 +885,8 @@ QUERIES: dict[str, Query] = {
     "l9_demand_importance_check": _importance_check(demand_result),
     "l9_delay_importance_check": _importance_check(delay_result),
     "l5_tree_predictions": l5_tree_predictions,
+    "l6_stump_nodes": _tree_nodes(lambda spark, sf: demand_tree(spark, sf, STUMP)),
+    "l7_stump_nodes": _tree_nodes(lambda spark, sf: delay_tree(spark, sf, STUMP)),
     "l6_tree_nodes": _tree_nodes(demand_tree),
     "l6_tree_predictions": l6_tree_predictions,
     "l7_tree_nodes": _tree_nodes(delay_tree),

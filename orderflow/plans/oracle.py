@@ -166,21 +166,30 @@ _ON_HELD_OUT = (*_ON_CLEANED, HELD_OUT)
 _ON_RULE = (LOGISTICS, SHIPMENTS, RULE)
 
 _TREE_NUMERIC = tuple(c for c in demand.NUMERIC if c != "price")
-_ON_DEMAND_TREE = (
-    *_ON_CLEANED,
-    "dated AS (SELECT *, month(date) AS month_num FROM cleaned)",
-    tree_sql.tree_tables(
-        "dated", KEY, demand.TARGET, f"{hashed(*KEY.split(', '))} % 10000 >= 2000",
-        demand.CATEGORICAL, _TREE_NUMERIC, 2, "variance"),
-)
-_ON_DELAY_TREE = (
-    *_ON_SHIPMENTS,
-    TESTED,
-    tree_sql.tree_tables(
-        "shipments", "shipment_id", delay.TARGET,
-        "shipment_id NOT IN (SELECT shipment_id FROM tested)",
-        delay.CATEGORICAL, delay.NUMERIC, 2, "gini"),
-)
+
+
+def _on_demand_tree(depth: int) -> tuple[str, ...]:
+    return (
+        *_ON_CLEANED,
+        "dated AS (SELECT *, month(date) AS month_num FROM cleaned)",
+        tree_sql.tree_tables(
+            "dated", KEY, demand.TARGET, f"{hashed(*KEY.split(', '))} % 10000 >= 2000",
+            demand.CATEGORICAL, _TREE_NUMERIC, depth, "variance"),
+    )
+
+
+def _on_delay_tree(depth: int) -> tuple[str, ...]:
+    return (
+        *_ON_SHIPMENTS,
+        TESTED,
+        tree_sql.tree_tables(
+            "shipments", "shipment_id", delay.TARGET,
+            "shipment_id NOT IN (SELECT shipment_id FROM tested)",
+            delay.CATEGORICAL, delay.NUMERIC, depth, "gini"),
+    )
+
+
+_ON_DEMAND_TREE, _ON_DELAY_TREE = _on_demand_tree(2), _on_delay_tree(2)
 
 
 # Rates often end exactly on half a unit of the sixth digit, and the last bit of a sum
@@ -401,6 +410,8 @@ FROM rows_ GROUP BY category""",
         """SELECT shipment_id, cast(y AS int) AS logistics_delay, prediction
 FROM ends JOIN based USING (rid) WHERE NOT trained""",
     ),
+    "l6_stump_nodes": sql(_on_demand_tree(1), tree_sql.NODES),
+    "l7_stump_nodes": sql(_on_delay_tree(1), tree_sql.NODES),
     "l6_tree_nodes": sql(_ON_DEMAND_TREE, tree_sql.NODES),
     "l6_tree_predictions": sql(
         _ON_DEMAND_TREE,

@@ -114,12 +114,16 @@ def read_report_tables(spark: SparkSession, out_dir: str) -> Mapping[str, DataFr
     return {name: spark.read.parquet(f"{out_dir}/{name}") for name in REPORT_TABLES}
 
 
-def stored_months(spark: SparkSession, out_dir: str, name: str) -> list[str]:
-    """The months of a row-level table, from the names of its folders; reads no row."""
-    folders = versions.Files(spark).names(versions.table_path(spark, out_dir, name))
-    key = f"{PARTITIONED[name]}="
-    months = [f.removeprefix(key) for f in folders if f.startswith(key)]
-    return sorted(m for m in months if m != "__HIVE_DEFAULT_PARTITION__")
+def read_footers(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    """A published table whose least and greatest values and row counts come from file footers.
+
+    Spark pushes such aggregates into a scan of its newer reader only. It is chosen in a
+    session of its own, which shares all but settings with ``spark``.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(versions.table_path(spark, out_dir, name))
 
 
 class ReportTables(Mapping):
