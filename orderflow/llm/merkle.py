@@ -83,23 +83,25 @@ def _group(key: Column, bits: int = GROUP_BITS) -> Column:
 def first_of_next(ids: DataFrame, bits: int = GROUP_BITS) -> DataFrame:
     """For each group of ids (column doc_id): grp, and next_id, the first id after the group.
 
-    The last group is followed by the first id of all. Groups are chained inside
-    larger groups; only one row per larger group (a million ids) is sorted at once.
+    The last group is followed by the first id of all. Groups are sorted in ranges and
+    chained inside them; only the first id of each range is sorted in one task, as many as
+    the sort has tasks, however the ids are spread.
     """
     groups = stage(
         ids.groupBy(_group(F.col("doc_id"), bits).alias("grp"))
         .agg(F.min("doc_id").alias("first_id"))
-        .withColumn("upper", _group(F.col("grp"))),
+        .orderBy("grp")
+        .withColumn("range", F.spark_partition_id()),
         "id-groups",
     )
-    uppers = groups.groupBy("upper").agg(F.min("first_id").alias("upper_first"))
-    chain = Window.orderBy("upper")
-    uppers = uppers.withColumn("after", F.coalesce(
-        F.lead("upper_first").over(chain), F.min("upper_first").over(Window.partitionBy(F.lit(1)))))
-    inside = Window.partitionBy("upper").orderBy("grp")
+    ranges = groups.groupBy("range").agg(F.min("first_id").alias("range_first"))
+    chain = Window.orderBy("range")
+    ranges = ranges.withColumn("after", F.coalesce(
+        F.lead("range_first").over(chain), F.min("range_first").over(Window.partitionBy(F.lit(1)))))
+    inside = Window.partitionBy("range").orderBy("grp")
     return (
         groups.withColumn("within", F.lead("first_id").over(inside))
-        .join(uppers, "upper")
+        .join(F.broadcast(ranges), "range")
         .select("grp", F.coalesce("within", "after").alias("next_id"))
     )
 

@@ -325,6 +325,14 @@ def test_next_document_over_group_borders(spark):
     assert got == {a: f"text {b}" for a, b in zip(ids, ids[1:] + ids[:1])}
 
 
+def test_next_document_of_sparse_and_dense_ids(spark):
+    rng = random.Random(14)
+    ids = sorted({*(rng.getrandbits(62) * rng.choice([1, -1]) for _ in range(800)), *range(5000, 9000)})
+    docs = spark.createDataFrame([(i, str(i)) for i in rng.sample(ids, len(ids))], "doc_id long, text string")
+    got = {r["doc_id"]: int(r["next_text"]) for r in merkle.with_next(docs.repartition(7)).collect()}
+    assert got == dict(zip(ids, [*ids[1:], ids[0]]))
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = merkle.compare_with_next(odd_docs(spark)).collect()
     got = {r["doc_id"]: r for r in rows}
