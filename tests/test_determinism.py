@@ -1,9 +1,10 @@
 """Draws, splits and samples do not depend on how the data are partitioned."""
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 
 from orderflow.functions.expr import key_hash
-from orderflow.models import forest
+from orderflow.models import delay, forest
 from orderflow.operators import bridge
 from orderflow.plans import catalog, report
 
@@ -87,3 +88,30 @@ def test_every_label_has_its_share_of_test_rows(spark):
 def test_features_are_spread_over_tasks(spark, sf_dir):
     spread = forest.spread(catalog.shipments(spark, sf_dir), ["shipment_id"], "spread")
     assert spread.rdd.getNumPartitions() > 1
+
+
+def test_training_tasks_grow_with_rows():
+    """Numbers that a task keeps stay bounded."""
+    for rows in (100, 7_200_000, 43_200_000, 432_000_000):
+        tasks = forest.training_tasks(rows, 20, 200)
+        assert rows * 420 / tasks <= forest.TASK_NUMBERS
+        assert tasks <= rows * 420 / forest.TASK_NUMBERS + 1
+
+
+def test_forests_train_in_tasks_by_rows(spark, sf_dir, monkeypatch):
+    """The forest gets its rows in as many tasks as their number asks for, none lost."""
+    seen = []
+
+    class Watched(RandomForestClassifier):
+        def _fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return super()._fit(df)
+
+    monkeypatch.setattr(delay, "RandomForestClassifier", Watched)
+    monkeypatch.setattr(forest, "TASK_NUMBERS", 3_000)
+    rows = catalog.shipments(spark, sf_dir)
+    size = forest.ForestSize(trees=1, depth=1, exhaustive=True)
+    result = delay.train_delay_model(rows, size=size)
+    (parts, trained), = seen
+    assert trained + result.predictions.count() == rows.count()
+    assert parts == -(-trained * (13 + 7 + 2) // 3_000) > 8
