@@ -115,3 +115,34 @@ def test_forests_train_in_tasks_by_rows(spark, sf_dir, monkeypatch):
     (parts, trained), = seen
     assert trained + result.predictions.count() == rows.count()
     assert parts == -(-trained * (13 + 7 + 2) // 3_000) > 8
+
+
+def test_single_trees_train_in_small_tasks():
+    """A task of one tree keeps fewer numbers than one of a forest: its sums of nodes are small."""
+    for rows in (480_000, 28_800_000, 172_800_000):
+        assert rows * 62 / forest.training_tasks(rows, 60, 1) <= 10_000_000
+        assert rows * 420 / forest.training_tasks(rows, 20, 200) <= 40_000_000
+
+
+def test_node_ids_are_cached_for_many_nodes_only():
+    """With cached node ids a task reads its rows twice, which small trees do not repay."""
+    assert not catalog.TREE.settings("all")["cacheNodeIds"]
+    assert not catalog.STUMP.settings("all")["cacheNodeIds"]
+    assert delay.SIZE.settings("sqrt")["cacheNodeIds"]
+    assert forest.ForestSize(1, 12, exhaustive=True).settings("all")["cacheNodeIds"]
+
+
+def test_delay_features_are_staged_without_a_shuffle(spark, sf_dir, monkeypatch):
+    """Marking the split deals the rows, so they need not be dealt before."""
+    plans, stage = {}, delay.stage
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(delay, "stage", watched)
+    monkeypatch.setattr(forest, "stage", watched)
+    size = forest.ForestSize(trees=1, depth=1, exhaustive=True)
+    delay.train_delay_model(catalog.shipments(spark, sf_dir), size=size)
+    assert "Repartition" not in plans["delay-features"]
+    assert "Window" in plans["delay-split"]
