@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.regression import RandomForestRegressor
 
 from orderflow.functions.expr import key_hash
 from orderflow.models import delay, forest
@@ -146,3 +147,39 @@ def test_delay_features_are_staged_without_a_shuffle(spark, sf_dir, monkeypatch)
     delay.train_delay_model(catalog.shipments(spark, sf_dir), size=size)
     assert "Repartition" not in plans["delay-features"]
     assert "Window" in plans["delay-split"]
+
+
+def test_training_rows_are_sorted_in_their_task(spark, sf_dir, monkeypatch):
+    """Rows of like features lie together in every task, and none is lost."""
+    seen = []
+
+    class Watched(RandomForestClassifier):
+        def _fit(self, df):
+            parts = df.select(*delay.NUMERIC, *delay.CATEGORICAL).rdd.glom().collect()
+            seen.append([[tuple(r) for r in part] for part in parts])
+            return super()._fit(df)
+
+    monkeypatch.setattr(delay, "RandomForestClassifier", Watched)
+    rows = catalog.shipments(spark, sf_dir)
+    size = forest.ForestSize(trees=1, depth=1, exhaustive=True)
+    result = delay.train_delay_model(rows, size=size)
+    (parts,) = seen
+    assert sum(map(len, parts)) + result.predictions.count() == rows.count()
+    assert all(part == sorted(part) for part in parts)
+
+
+def test_forest_does_not_depend_on_the_order_of_rows(spark):
+    """Draws follow the sorted rows, in whatever order a task gets them; missing values too."""
+    rows = [
+        (i % 7 * 1.0, i * 37 % 101 / 3, None if i % 11 == 0 else f"c{i % 5}", i * i % 13 * 1.0)
+        for i in range(300)
+    ]
+
+    def grown(part):
+        df = spark.createDataFrame(part, "a double, b double, c string, y double").coalesce(1)
+        size = forest.ForestSize(trees=5, depth=4)
+        regressor = RandomForestRegressor(labelCol="y", seed=3, **size.settings("all"))
+        return forest.fit_forest(df, ["c"], ["a", "b"], regressor, size).stages[-1].toDebugString
+
+    body = [grown(part).split("\n", 1)[1] for part in (rows, rows[::-1], rows[150:] + rows[:150])]
+    assert body[0] == body[1] == body[2]
