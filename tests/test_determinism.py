@@ -183,3 +183,28 @@ def test_forest_does_not_depend_on_the_order_of_rows(spark):
 
     body = [grown(part).split("\n", 1)[1] for part in (rows, rows[::-1], rows[150:] + rows[:150])]
     assert body[0] == body[1] == body[2]
+
+
+def test_few_rows_train_in_all_tasks(spark, sf_dir, monkeypatch):
+    """Rows of one small file are dealt to as many tasks as run at once."""
+    seen = []
+
+    class Watched(RandomForestClassifier):
+        def _fit(self, df):
+            seen.append(df.rdd.glom().map(len).collect())
+            return super()._fit(df)
+
+    monkeypatch.setattr(delay, "RandomForestClassifier", Watched)
+    rows = catalog.shipments(spark, sf_dir).limit(400).coalesce(1)
+    size = forest.ForestSize(trees=1, depth=1, exhaustive=True)
+    result = delay.train_delay_model(rows, size=size)
+    (parts,) = seen
+    assert sum(parts) + result.predictions.count() == 400
+    assert len(parts) == spark.sparkContext.defaultParallelism and min(parts) > 0
+
+
+def test_tasks_of_deep_forests_hold_more():
+    """Sums of nodes double with each level, and every task sends them all."""
+    assert 7_200_000 * 420 / forest.training_tasks(7_200_000, 20, 200, 8) <= 20_000_000
+    shallow, deep = (forest.training_tasks(28_800_000, 60, 150, d) for d in (11, 12))
+    assert 0.9 < shallow / (2 * deep) < 1.1
