@@ -161,7 +161,7 @@ def test_training_rows_are_sorted_in_their_task(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(delay, "RandomForestClassifier", Watched)
     rows = catalog.shipments(spark, sf_dir)
-    size = forest.ForestSize(trees=1, depth=1, exhaustive=True)
+    size = forest.ForestSize(trees=9, depth=3)
     result = delay.train_delay_model(rows, size=size)
     (parts,) = seen
     assert sum(map(len, parts)) + result.predictions.count() == rows.count()
