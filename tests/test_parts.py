@@ -7,6 +7,7 @@ from pyspark.ml.regression import RandomForestRegressor
 
 from orderflow.models import forest
 from orderflow.models.trees import tree_nodes
+from orderflow.operators import trailing
 from orderflow.session import branches
 
 
@@ -64,3 +65,20 @@ def test_branches_run_beside_each_other(spark):
         failed = branch(lambda: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             failed.result()
+
+
+def test_window_tasks_grow_with_rows(spark, monkeypatch):
+    """Many rows meet their windows in more tasks than the session's, with the same means, in one shuffle."""
+    rows = [(f"s{i % 50}" if i % 7 else None, i // 50, float(i * i % 23)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "s string, day int, v double")
+
+    def means(most):
+        monkeypatch.setattr(trailing, "WINDOW_ROWS", most)
+        got = trailing.with_trailing_means(df, ["s"], ["day"], "v", long_rows=100, rows_at_most=3000)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        return sorted(map(tuple, got.collect()), key=repr), plan
+
+    (few, before), (many, after) = means(10**9), means(100)
+    assert few == many
+    assert "_apart" in before and ", 30)" not in before
+    assert after.count(", 30)") == 1 and after.count("hashpartitioning") == before.count("hashpartitioning")
