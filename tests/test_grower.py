@@ -65,6 +65,18 @@ def test_forest_does_not_depend_on_tasks_blocks_or_order(spark, monkeypatch, kin
     assert found[0] == found[1]
 
 
+def test_rows_of_few_trees_are_added_up_where_they_are(spark, monkeypatch):
+    """A tree of many rows is grown by all tasks; it is the tree that one task grows."""
+    monkeypatch.setattr(forest, "SPARK_ROWS", 0)
+    size, found, seen = ForestSize(1, 4, exhaustive=True), [], []
+    real = grower.Sums.join
+    monkeypatch.setattr(grower.Sums, "join", lambda self, other: (seen.append(1), real(self, other)))
+    for kept in (10**6, 0):
+        monkeypatch.setattr(grower, "KEEP_ROWS", kept)
+        found.append(body(fitted(table(spark, "numbers").repartition(3), size, "numbers")))
+    assert found[0] == found[1] and len(seen) >= 2
+
+
 def test_forest_has_all_trees_and_their_features(spark, monkeypatch):
     monkeypatch.setattr(forest, "SPARK_ROWS", 0)
     model = fitted(table(spark, "numbers"), ForestSize(9, 6), "numbers")
