@@ -51,18 +51,21 @@ def test_tree_is_the_one_that_spark_grows(spark, monkeypatch, kind):
 
 @pytest.mark.parametrize("kind", KINDS)
 def test_forest_does_not_depend_on_tasks_blocks_or_order(spark, monkeypatch, kind):
-    """Kept rows, or level by level in blocks, rows in another order, sums compared in pieces."""
+    """Kept rows, or level by level in blocks; nodes in parts; rows in another order; cells not shared."""
     monkeypatch.setattr(forest, "SPARK_ROWS", 0)
     size, found = ForestSize(7, 5), []
-    for kept, block, sums, df in (
-        (10**6, 10**6, 10**6, table(spark, kind).coalesce(1)),
-        (0, 50, 300, table(spark, kind).orderBy(F.desc("a"), "b").coalesce(1)),
+    for kept, block, sums, task, bins, df in (
+        (10**6, 10**6, 10**6, 10**7, 256, table(spark, kind).coalesce(1)),
+        (10**6, 10**6, 300, 1500, 256, table(spark, kind).coalesce(1)),
+        (0, 50, 300, 1500, 4, table(spark, kind).orderBy(F.desc("a"), "b").coalesce(1)),
     ):
+        monkeypatch.setattr(grower, "SUMS_OF_TASK", task)
+        monkeypatch.setattr(grower, "CELL_BINS", bins)
         monkeypatch.setattr(grower, "KEEP_ROWS", kept)
         monkeypatch.setattr(grower, "SUMS_AT_ONCE", sums)
         monkeypatch.setattr(grower, "BLOCK_ROWS", block)
         found.append(body(fitted(df, size, kind, "sqrt")))
-    assert found[0] == found[1]
+    assert found[0] == found[1] == found[2]
 
 
 def test_rows_of_few_trees_are_added_up_where_they_are(spark, monkeypatch):
